@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.llm.boilerplate import main_content
+from ledgerline.llm.names import link_names, name_pairs
 from ledgerline.session import table
 
 
@@ -12,5 +13,13 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return main_content(table(spark, d, "fetch_observations"), "id", "source_url", "raw_payload.html")
 
 
-QUERIES = {f.__name__: f for f in (p2_found,)}
+def p5_entities(spark: SparkSession, d: str) -> DataFrame:
+    return link_names(table(spark, d, "papers"), "authors", table(spark, d, "given_name_forms"))
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return name_pairs(p5_entities(spark, d))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p5_found, p5_entities)}
 SQL: dict[str, str] = {}
