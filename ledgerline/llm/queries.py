@@ -3,10 +3,15 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerline.llm.boilerplate import main_content
+from ledgerline.llm.mixing import mix_sources
 from ledgerline.llm.names import link_names, name_pairs
-from ledgerline.session import table
+from ledgerline.llm.packing import pack_documents, packing_report
+from ledgerline.llm.reading import reading_bands
+from ledgerline.llm.tokens import canonical_source, token_counts
+from ledgerline.session import cut, table
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
@@ -21,5 +26,41 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return name_pairs(p5_entities(spark, d))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p5_found, p5_entities)}
+def p6_pack(spark: SparkSession, d: str) -> DataFrame:
+    sizes = cut(token_counts(table(spark, d, "documents"), "doc_id", "text"))
+    return pack_documents(sizes, table(spark, d, "pack_capacity"))
+
+
+def p6_fill(spark: SparkSession, d: str) -> DataFrame:
+    return packing_report(p6_pack(spark, d), table(spark, d, "pack_capacity"))
+
+
+def _mixed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    sizes = cut(token_counts(table(spark, d, "documents"), "doc_id", "text", "source"))
+    return mix_sources(sizes, table(spark, d, "mix_targets"))
+
+
+def p7_draws(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[0]
+
+
+def p7_shares(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed(spark, d)[1]
+
+
+def _banded(spark: SparkSession, d: str) -> DataFrame:
+    return reading_bands(table(spark, d, "documents"), table(spark, d, "reading_labels"))
+
+
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return _banded(spark, d).select("doc_id", "band")
+
+
+def p8_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and mean score by source, language and band."""
+    documents = table(spark, d, "documents").select("doc_id", canonical_source(F.col("source")).alias("source"), F.substring(F.lower(F.trim("lang")), 1, 2).alias("lang"))
+    return _banded(spark, d).join(documents, "doc_id").groupBy("source", "lang", "band").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("score").alias("mean_score"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p5_found, p5_entities, p6_pack, p6_fill, p7_draws, p7_shares, p8_found, p8_profile)}
 SQL: dict[str, str] = {}
