@@ -1,3 +1,412 @@
-"""Queries of the evidence operators."""
-QUERIES = {}
-SQL = {}
+"""Queries of the evidence operators, each over its whole tables, with SQL where SQL can say the same."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgerline.functions.text import collapse_space, content_hash, feed_id, feed_time, iso_text
+from ledgerline.functions.urls import owner_and_repo, repo_url
+from ledgerline.grounding.checks import EXTRACTION, decode, ground
+from ledgerline.grounding.pipeline import route
+from ledgerline.operators import relational as R
+from ledgerline.operators.associate import mark_selected, select_primary, selected_twice
+from ledgerline.operators.skew import salted_lookup
+from ledgerline.operators.validate import build_exports
+from ledgerline.plans.core_queries import _url
+from ledgerline.schemas import evidence_strength, violation
+from ledgerline.session import table
+from ledgerline.sources.attempts import backoff, fold_attempts, repo_outcome
+from ledgerline.sources.feed import discovered, feed_papers, page_plan
+from ledgerline.sources.log import events
+from ledgerline.sources.pages import anchors, link_candidates
+from ledgerline.sources.sheet import chunked, sheet_rows
+
+HOST = "codeforge.example"
+#: The time of the run that queries write; fixed, so that they give the same rows each time.
+RUN_AT = "2025-03-01 00:00:00"
+#: The moment that splits a table into what was there and what came later, where a query needs both.
+SPLIT = "2025-01-20 00:00:00"
+
+SQL: dict[str, str] = {}
+QUERIES: dict = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _canonical(c: Column) -> Column:
+    return repo_url(c, HOST, reserved=())
+
+
+def _once(df: DataFrame) -> DataFrame:
+    return df.dropDuplicates(["id"])
+
+
+# Sources
+
+
+@query()
+def selected_repository(spark: SparkSession, d: str) -> DataFrame:
+    """Links in the containers of article pages, and the repository chosen for each page."""
+    pages = table(spark, d, "fetch_observations").select("id", "source_url", F.col("raw_payload.html").alias("html"), "fetched_at")
+    candidates = link_candidates(anchors(pages, "id", "source_url", "html", "fetched_at"), HOST, ())
+    chosen = select_primary(candidates, "page_id", "repo_url")
+    return chosen.select("page_id", "n_best", "n_official", F.col("selected").alias("repo_url"))
+
+
+@query()
+def extract_links(spark: SparkSession, d: str) -> DataFrame:
+    pages = table(spark, d, "fetch_observations").select("id", "source_url", F.col("raw_payload.html").alias("html"), "fetched_at")
+    return link_candidates(anchors(pages, "id", "source_url", "html", "fetched_at"), HOST, ()).select("page_id", "repo_url", "evidence_locator", "evidence_text")
+
+
+@query()
+def feed_records(spark: SparkSession, d: str) -> DataFrame:
+    papers, _ = feed_papers(table(spark, d, "fetch_observations"), "id", "raw_payload.atom_xml", "https://paperhub.example/abs/")
+    return papers.withColumn("authors", F.array_join("authors", "; "))
+
+
+@query()
+def feed_rejects(spark: SparkSession, d: str) -> DataFrame:
+    return feed_papers(table(spark, d, "fetch_observations"), "id", "raw_payload.atom_xml")[1]
+
+
+@query("SELECT range AS start, 100 AS max_results, 'https://feed.example/query?start=' || range || '&max_results=100' AS source_url FROM range(0, 250, 100)")
+def feed_page_plan(spark: SparkSession, d: str) -> DataFrame:
+    return page_plan(spark, "https://feed.example/query", 250, 100)
+
+
+@query("""
+WITH pages AS (
+  SELECT DISTINCT id, strftime(fetched_at AT TIME ZONE 'UTC', '%Y-%m-%d') AS run, regexp_extract(source_url, 'start=([0-9]+)', 1)::BIGINT AS start, fetch_status <> 'OK' AS failed,
+         contains(raw_payload.atom_xml, '<entry>') AS has FROM fetch_observations WHERE regexp_matches(source_url, 'start=[0-9]+')),
+ends AS (SELECT run, min(CASE WHEN failed THEN start END) AS f, min(CASE WHEN NOT failed AND NOT coalesce(has, false) THEN start END) AS l FROM pages GROUP BY run)
+SELECT id, run, start FROM pages JOIN ends USING (run) WHERE NOT failed AND (f IS NULL OR start < f) AND (l IS NULL OR start <= l)""")
+def discovered_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Each day's feed pages as one discovery run, up to its first failure or page without entries."""
+    start = F.regexp_extract("source_url", "start=([0-9]+)", 1)
+    rows = table(spark, d, "fetch_observations").where(start != "").select(
+        "id", F.date_format("fetched_at", "yyyy-MM-dd").alias("run"), start.cast("bigint").alias("start"), (F.col("fetch_status") != "OK").alias("failed"),
+        F.when(F.contains("raw_payload.atom_xml", F.lit("<entry>")), "<entry>").alias("body"),
+    )
+    return discovered(rows.distinct(), "run", "start", "failed", "body").select("id", "run", "start")
+
+
+_CODE = "CASE api_status WHEN 'OK' THEN 200 WHEN 'NOT_FOUND' THEN 404 WHEN 'RATE_LIMITED' THEN 429 ELSE 500 END"
+
+
+@query(f"""
+WITH log AS (SELECT DISTINCT id, {_url("repo_url")} AS k, stars_fetched_at AS t, {_CODE} AS code FROM github_repo_snapshots),
+o AS (SELECT *, CASE code WHEN 200 THEN 'OK' WHEN 404 THEN 'NOT_FOUND' WHEN 429 THEN 'retry:RATE_LIMITED' ELSE 'retry:ERROR' END AS o FROM log WHERE k IS NOT NULL),
+r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY t, o) AS n FROM o QUALIFY n <= 5),
+e AS (SELECT k, coalesce(min(CASE WHEN o NOT LIKE 'retry:%' THEN n END), max(n)) AS used FROM r GROUP BY k)
+SELECT k AS repo_url, used::INT AS attempts_used, replace(o, 'retry:', '') AS api_status, ((1 << (used - 1)::INT) - 1)::DOUBLE AS waited FROM e JOIN r USING (k) WHERE n = used""")
+def retry_fold(spark: SparkSession, d: str) -> DataFrame:
+    """Each repository's readings as a log of attempts: the first final one of five, and the time waited."""
+    log = _once(table(spark, d, "github_repo_snapshots")).select(
+        F.explode(F.array(_canonical(F.col("repo_url")))).alias("repo_url"), "stars_fetched_at",
+        F.when(F.col("api_status") == "OK", 200).when(F.col("api_status") == "NOT_FOUND", 404).when(F.col("api_status") == "RATE_LIMITED", 429).otherwise(500).alias("code"),
+    )
+    return fold_attempts(log, "repo_url", "stars_fetched_at", repo_outcome(F.col("code"), F.lit(None).cast("string")))
+
+
+@query("SELECT range AS attempt, least(pow(2, range - 1), 60.0)::DOUBLE AS seconds FROM range(1, 11)")
+def backoff_plan(spark: SparkSession, d: str) -> DataFrame:
+    return spark.range(1, 11).select(F.col("id").alias("attempt"), backoff(F.col("id").cast("double")).alias("seconds"))
+
+
+@query(f"SELECT DISTINCT repo_url AS url, {_url('repo_url')} AS repo_url FROM paper_repo_links")
+def normalize_repo_url(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "paper_repo_links").select(F.col("repo_url").alias("url")).distinct().select("url", _canonical(F.col("url")).alias("repo_url"))
+
+
+@query(r"""SELECT DISTINCT repo_url AS url, nullif(regexp_extract(repo_url, 'codeforge\.example/([^/]+)/([^/#?]+)', 1), '') AS owner,
+nullif(regexp_replace(regexp_extract(repo_url, 'codeforge\.example/([^/]+)/([^/#?]+)', 2), '\.git$', ''), '') AS repo FROM github_repo_snapshots""")
+def lookup_owner_repo(spark: SparkSession, d: str) -> DataFrame:
+    owner, repo = owner_and_repo(F.col("url"), HOST)
+    return table(spark, d, "github_repo_snapshots").select(F.col("repo_url").alias("url")).distinct().select("url", owner.alias("owner"), repo.alias("repo"))
+
+
+@query("SELECT DISTINCT canonical_url, nullif(regexp_extract(canonical_url, 'abs/([^v]+)', 1), '') AS record FROM papers")
+def feed_ids(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "papers").select("canonical_url", feed_id(F.col("canonical_url")).alias("record")).distinct()
+
+
+_SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+@query(rf"""SELECT id, regexp_replace(regexp_replace(title, '{_SPACES}', ' ', 'g'), '^ | $', '', 'g') AS title,
+regexp_replace(regexp_replace(abstract, '{_SPACES}', ' ', 'g'), '^ | $', '', 'g') AS abstract FROM papers""")
+def whitespace_collapse(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "papers").select("id", collapse_space(F.col("title")).alias("title"), collapse_space(F.col("abstract")).alias("abstract"))
+
+
+@query("SELECT DISTINCT id, sha256(coalesce(raw_payload.atom_xml, raw_payload.html, '')) AS sha, sha256(coalesce(raw_payload.atom_xml, raw_payload.html, '')) = content_hash AS same FROM fetch_observations")
+def content_hashes(spark: SparkSession, d: str) -> DataFrame:
+    sha = content_hash(F.coalesce("raw_payload.atom_xml", "raw_payload.html", F.lit("")))
+    return table(spark, d, "fetch_observations").select("id", sha.alias("sha"), "content_hash").distinct().select("id", "sha", (F.col("sha") == F.col("content_hash")).alias("same"))
+
+
+@query("""SELECT id, strftime(published_date AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%SZ') AS text, epoch_us(published_date) AS us,
+replace(strftime(first_seen_at AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S.%f+00:00'), '.000000+', '+') AS seen FROM papers""")
+def feed_times(spark: SparkSession, d: str) -> DataFrame:
+    """Times to feed text and back, and to ISO text."""
+    text = F.date_format("published_date", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    return table(spark, d, "papers").select("id", text.alias("text"), F.unix_micros(feed_time(text)).alias("us"), iso_text(F.col("first_seen_at")).alias("seen"))
+
+
+# Tables
+
+
+@query("SELECT id, count(*) AS n_rows FROM (SELECT id FROM github_repo_snapshots UNION ALL SELECT id FROM github_repo_snapshots WHERE api_status = 'OK') GROUP BY id")
+def append_rows(spark: SparkSession, d: str) -> DataFrame:
+    t = table(spark, d, "github_repo_snapshots")
+    return R.append(t, t.where("api_status = 'OK'")).groupBy("id").agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("SELECT DISTINCT paper_id, fetch_observation_id FROM paper_fetch_observations WHERE paper_id IS NOT NULL AND fetch_observation_id IS NOT NULL")
+def link_idempotent(spark: SparkSession, d: str) -> DataFrame:
+    """Old links, then all links put if absent, twice."""
+    links = table(spark, d, "paper_fetch_observations").select("paper_id", "fetch_observation_id", "linked_at")
+    key = ["paper_id", "fetch_observation_id"]
+    once = R.put_if_absent(links.where(F.col("linked_at") < SPLIT), links, key)
+    return R.put_if_absent(once, links, key).select(*key)
+
+
+@query("""
+WITH o AS (SELECT DISTINCT ON (lower(trim(id))) lower(trim(id)) AS oid, id, paper_id, fetched_at FROM fetch_observations ORDER BY lower(trim(id))),
+asked AS (
+  SELECT lower(trim(paper_id)) AS p, lower(trim(id)) AS oid FROM fetch_observations WHERE paper_id IS NOT NULL
+  UNION SELECT lower(trim(paper_id)), lower(trim(fetch_observation_id)) FROM paper_fetch_observations WHERE paper_id IS NOT NULL)
+SELECT p AS asked_paper_id, id AS observation_id, fetched_at FROM asked JOIN o USING (oid)""")
+def lineage(spark: SparkSession, d: str) -> DataFrame:
+    """Every observation of every paper, linked directly or through the link table."""
+    slim = table(spark, d, "fetch_observations").select("id", "paper_id", "fetched_at")
+    return R.observations_of_papers(slim, table(spark, d, "paper_fetch_observations")).select("asked_paper_id", F.col("id").alias("observation_id"), "fetched_at")
+
+
+@query(f"""
+WITH seen AS (SELECT regexp_extract(source_url, 'abs/([^v?]+)', 1) AS k, min(fetched_at) AS f, max(fetched_at) AS l FROM fetch_observations WHERE raw_payload.html IS NOT NULL GROUP BY 1),
+known AS (SELECT arxiv_id, first_seen_at, last_seen_at FROM papers WHERE first_seen_at < TIMESTAMPTZ '{SPLIT}+00')
+SELECT coalesce(arxiv_id, k) AS arxiv_id, coalesce(first_seen_at, f) AS first_seen_at, greatest(last_seen_at, l) AS last_seen_at
+FROM known FULL JOIN (SELECT * FROM seen WHERE k <> '') ON arxiv_id = k""")
+def upsert_seen(spark: SparkSession, d: str) -> DataFrame:
+    """Papers known at a moment, then every page seen."""
+    known = table(spark, d, "papers").where(F.col("first_seen_at") < F.lit(SPLIT).cast("timestamp")).select("arxiv_id", "first_seen_at", "last_seen_at")
+    pages = table(spark, d, "fetch_observations").where(F.col("raw_payload.html").isNotNull())
+    seen = pages.select(F.nullif(F.regexp_extract("source_url", "abs/([^v?]+)", 1), F.lit("")).alias("arxiv_id"), F.col("fetched_at").alias("at"))
+    return R.upsert_seen(known, seen, "arxiv_id", "first_seen_at", "last_seen_at")
+
+
+@query("SELECT id, CASE WHEN status = 'PARSED' THEN 'RESOLVING_REPO' ELSE status END AS status, coalesce(status = 'PARSED', false) AS claimed FROM papers")
+def claim_status(spark: SparkSession, d: str) -> DataFrame:
+    papers = table(spark, d, "papers").select("id", "status")
+    after, claimed = R.claim(papers, "PARSED", "RESOLVING_REPO")
+    return after.join(claimed.select("id", F.lit(True).alias("c")), "id", "left").select("id", "status", F.coalesce("c", F.lit(False)).alias("claimed"))
+
+
+_LATEST_RECORD = "SELECT DISTINCT ON (lower(paper_id)) lower(paper_id) AS k, export_payload.title AS title, validated_at FROM validated_records WHERE paper_id IS NOT NULL ORDER BY lower(paper_id), validated_at DESC, id DESC"
+
+
+@query(f"SELECT p.id, CASE WHEN v.k IS NOT NULL THEN v.title ELSE p.title END AS title FROM papers p LEFT JOIN ({_LATEST_RECORD}) v ON lower(p.id) = v.k")
+def mark_parsed(spark: SparkSession, d: str) -> DataFrame:
+    """Titles of papers overwritten, NULLs too, by those of their latest record."""
+    records = table(spark, d, "validated_records").where(F.col("paper_id").isNotNull()).select(F.lower("paper_id").alias("k"), F.col("export_payload.title").alias("title"), "validated_at", "id")
+    latest = R.latest_by(records, ["k"], F.col("validated_at"), F.col("id")).select("k", "title")
+    papers = table(spark, d, "papers").select("id", "title", F.lower("id").alias("k"))
+    return R.overwrite_fields(papers, latest, "k", ["title"]).select("id", "title")
+
+
+@query("SELECT id, CASE WHEN title IS NULL OR trim(title) = '' THEN 'FAILED' ELSE status END AS status, CASE WHEN title IS NULL OR trim(title) = '' THEN 'empty title' ELSE failure_reason END AS failure_reason FROM papers")
+def mark_failed(spark: SparkSession, d: str) -> DataFrame:
+    papers = table(spark, d, "papers").select("id", "title", "status", "failure_reason")
+    empty = F.col("title").isNull() | (F.trim("title") == "")
+    return R.set_where(papers, empty, status=F.lit("FAILED"), failure_reason=F.lit("empty title")).drop("title")
+
+
+@query("SELECT id, first_seen_at FROM papers WHERE status = 'RESOLVED' ORDER BY first_seen_at, id LIMIT 50")
+def first_by_status(spark: SparkSession, d: str) -> DataFrame:
+    return R.first_by_status(table(spark, d, "papers").select("id", "status", "first_seen_at"), "RESOLVED", "first_seen_at", "id", 50).select("id", "first_seen_at")
+
+
+@query("SELECT id, arxiv_id, title FROM papers WHERE lower(id) = (SELECT min(lower(id)) FROM papers)")
+def paper_lookup(spark: SparkSession, d: str) -> DataFrame:
+    papers = table(spark, d, "papers")
+    key = papers.agg(F.min(F.lower("id")).alias("k")).select("k").scalar()
+    return papers.where(F.lower("id") == key).select("id", "arxiv_id", "title")
+
+
+@query("SELECT DISTINCT id, paper_id, evidence_type, CASE evidence_type WHEN 'authoritative_paper_page' THEN 1 WHEN 'trusted_metadata' THEN 2 WHEN 'pwc_verified' THEN 3 WHEN 'pwc_ai_agent_parsed' THEN 4 END AS strength FROM paper_repo_links")
+def link_strength(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "paper_repo_links").select("id", "paper_id", "evidence_type", evidence_strength(F.col("evidence_type")).alias("strength")).distinct()
+
+
+_BEST = """
+l AS (SELECT DISTINCT id, lower(paper_id) AS paper_id, evidence_strength AS s, coalesce(contains(lower(evidence_locator), 'official'), false) AS o FROM paper_repo_links WHERE paper_id IS NOT NULL),
+b AS (SELECT paper_id, min(s) AS s FROM l GROUP BY 1),
+c AS (SELECT paper_id, count(*) AS n_best, count(*) FILTER (WHERE o) AS n_official, min(id) AS only_id, min(id) FILTER (WHERE o) AS official_id FROM l JOIN b USING (paper_id, s) GROUP BY 1),
+chosen AS (SELECT paper_id, n_best, n_official, CASE WHEN n_best = 1 THEN only_id WHEN n_official = 1 THEN official_id END AS selected FROM c)"""
+
+
+def _chosen(spark: SparkSession, d: str) -> DataFrame:
+    links = _once(table(spark, d, "paper_repo_links")).withColumn("paper_id", F.lower("paper_id"))
+    return select_primary(links, "paper_id", "id")
+
+
+@query(f"WITH {_BEST} SELECT * FROM chosen")
+def select_primary_link(spark: SparkSession, d: str) -> DataFrame:
+    return _chosen(spark, d)
+
+
+@query(f"WITH {_BEST} SELECT DISTINCT l.id, l.id IN (SELECT selected FROM chosen WHERE selected IS NOT NULL) AS is_selected FROM paper_repo_links l")
+def mark_selected_link(spark: SparkSession, d: str) -> DataFrame:
+    return mark_selected(_once(table(spark, d, "paper_repo_links").select("id", "paper_id")), _chosen(spark, d)).select("id", "is_selected")
+
+
+@query("SELECT lower(paper_id) AS paper_id, count(DISTINCT id) AS n FROM paper_repo_links WHERE is_selected GROUP BY 1 HAVING count(DISTINCT id) > 1")
+def links_selected_twice(spark: SparkSession, d: str) -> DataFrame:
+    return selected_twice(table(spark, d, "paper_repo_links").withColumn("paper_id", F.lower("paper_id")))
+
+
+_LATEST = f"SELECT DISTINCT ON (k) k, id, api_status, exists_verified, stargazers_count, stars_fetched_at FROM (SELECT *, {_url('repo_url')} AS k FROM github_repo_snapshots) WHERE k IS NOT NULL ORDER BY k, stars_fetched_at DESC, id DESC"
+
+
+@query(f"SELECT k AS repo_url, id, api_status, stargazers_count, stars_fetched_at FROM ({_LATEST})")
+def latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "github_repo_snapshots").select(F.explode(F.array(_canonical(F.col("repo_url")))).alias("repo_url"), "id", "api_status", "stargazers_count", "stars_fetched_at")
+    return R.latest_by(rows.where(F.col("repo_url").isNotNull()), ["repo_url"], F.col("stars_fetched_at"), F.col("id"))
+
+
+@query(f"""
+SELECT DISTINCT p.id, l.repo_url, p.first_seen_at FROM papers p JOIN paper_repo_links l ON lower(p.id) = lower(l.paper_id) AND l.is_selected
+WHERE p.status = 'RESOLVED' AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT {_url("repo_url")} AS k FROM github_repo_snapshots) s WHERE s.k = {_url("l.repo_url")})""")
+def unverified_repositories(spark: SparkSession, d: str) -> DataFrame:
+    return R.unverified(*(table(spark, d, t) for t in ("papers", "paper_repo_links", "github_repo_snapshots")), _canonical(F.col("repo_url")))
+
+
+@query(f"""
+WITH r AS (SELECT DISTINCT id, lower(paper_id) AS paper_id, validated_at, exported_at FROM validated_records WHERE paper_id IS NOT NULL),
+new AS (SELECT DISTINCT ON (paper_id) paper_id, validated_at, NULL::TIMESTAMPTZ AS exported_at FROM r WHERE validated_at >= TIMESTAMPTZ '{SPLIT}+00' ORDER BY paper_id, validated_at DESC, id DESC),
+old AS (SELECT DISTINCT ON (paper_id) paper_id, validated_at, exported_at FROM r WHERE validated_at < TIMESTAMPTZ '{SPLIT}+00' ORDER BY paper_id, validated_at DESC, id DESC)
+SELECT * FROM new UNION ALL SELECT * FROM old WHERE paper_id NOT IN (SELECT paper_id FROM new)""")
+def upsert_validated(spark: SparkSession, d: str) -> DataFrame:
+    """Records of before a moment, then those of after it in their place, not exported yet."""
+    rows = table(spark, d, "validated_records").where(F.col("paper_id").isNotNull()).select("id", F.lower("paper_id").alias("paper_id"), "validated_at", "exported_at")
+    late = F.col("validated_at") >= F.lit(SPLIT).cast("timestamp")
+    old = R.latest_by(rows.where(~late), ["paper_id"], F.col("validated_at"), F.col("id"))
+    new = rows.where(late).withColumn("exported_at", F.lit(None).cast("timestamp"))
+    return R.last_writer_wins(old, new, ["paper_id"], "validated_at").select("paper_id", "validated_at", "exported_at")
+
+
+@query("SELECT DISTINCT id, validated_at FROM validated_records WHERE exported_at IS NULL ORDER BY validated_at, id LIMIT 100")
+def first_unexported(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "validated_records").where(F.col("exported_at").isNull()).select("id", "validated_at").distinct()
+    return rows.orderBy("validated_at", "id").limit(100)
+
+
+@query(f"SELECT DISTINCT id, coalesce(exported_at, TIMESTAMPTZ '{RUN_AT}+00') AS exported_at FROM validated_records")
+def mark_exported(spark: SparkSession, d: str) -> DataFrame:
+    rows = table(spark, d, "validated_records").select("id", "exported_at").distinct()
+    return R.set_for_ids(rows, rows.where(F.col("exported_at").isNull()), "id", exported_at=F.lit(RUN_AT).cast("timestamp"))
+
+
+_SHEET = """SELECT DISTINCT id, coalesce(export_payload.title, '') AS title, coalesce(array_to_string(export_payload.authors, '; '), '') AS authors, coalesce(export_payload.github_url, '') AS github_url,
+coalesce(export_payload.github_stars::VARCHAR, '') AS github_stars, coalesce(export_payload.published_date, '') AS published_date, validated_at FROM validated_records"""
+
+
+@query(f"WITH s AS ({_SHEET}) SELECT * EXCLUDE validated_at, floor(row_number() OVER (ORDER BY validated_at, id) / 500)::INT AS chunk FROM s")
+def export_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The sheet of all records and the request that carries each row."""
+    rows = sheet_rows(_once(table(spark, d, "validated_records").select("id", "validated_at", "export_payload.*")))
+    return chunked(rows, ["validated_at", "id"]).select("id", "title", "authors", "github_url", "github_stars", "published_date", "chunk")
+
+
+def _blank(column: str) -> str:
+    return f"regexp_replace({column}, '{_SPACES}', '', 'g') = ''"
+
+
+_GATED = f"""
+l AS (SELECT DISTINCT ON (lower(paper_id)) lower(paper_id) AS p, repo_url, evidence_type, {_url("repo_url")} AS k FROM paper_repo_links WHERE is_selected ORDER BY lower(paper_id), id DESC),
+s AS ({_LATEST})"""
+_REASON = f"""CASE WHEN arxiv_id IS NULL OR {_blank("arxiv_id")} THEN 'missing arxiv_id' WHEN authors IS NULL OR len(authors) = 0 THEN 'no authors' WHEN title IS NULL OR {_blank("title")} THEN 'empty title' END"""
+
+
+def _exports(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    return build_exports(*(table(spark, d, t) for t in ("papers", "paper_repo_links", "github_repo_snapshots")), _canonical, RUN_AT)
+
+
+@query(f"""
+WITH {_GATED}
+SELECT p.id AS paper_id, CASE WHEN ok THEN l.repo_url END AS github_url, CASE WHEN ok THEN stargazers_count END AS github_stars, CASE WHEN ok THEN evidence_type END AS github_evidence_type,
+'2025-03-01T00:00:00+00:00' AS "collectedAt", array_to_string(authors, '; ') AS authors
+FROM (SELECT *, {_REASON} AS reason FROM papers) p LEFT JOIN l ON lower(p.id) = l.p LEFT JOIN (SELECT *, exists_verified AND api_status = 'OK' AS ok FROM s) s ON l.k = s.k WHERE reason IS NULL""")
+def validate_exports(spark: SparkSession, d: str) -> DataFrame:
+    return _exports(spark, d)[0].select("paper_id", "github_url", "github_stars", "github_evidence_type", "collectedAt", F.array_join("authors", "; ").alias("authors"))
+
+
+@query(f"SELECT id AS paper_id, {_REASON} AS reason FROM papers WHERE ({_REASON}) IS NOT NULL")
+def validate_rejects(spark: SparkSession, d: str) -> DataFrame:
+    return _exports(spark, d)[1]
+
+
+@query("SELECT id, CASE WHEN title IS NULL THEN 'skipped' ELSE 'parsed' END AS status, json_object('status', status, 'failure_reason', failure_reason) AS detail FROM papers")
+def log_events(spark: SparkSession, d: str) -> DataFrame:
+    papers = table(spark, d, "papers").select("id", "title", F.col("status").alias("s"), "failure_reason").withColumnRenamed("s", "status")
+    logged = events(papers, "parse", F.when(F.col("title").isNull(), "skipped").otherwise("parsed"), RUN_AT, ["status", "failure_reason"], record_id=F.col("id"))
+    return logged.select(F.col("record_id").alias("id"), "status", "detail")
+
+
+@query("""SELECT DISTINCT id, CASE WHEN id IS NULL THEN 'id: missing' WHEN repo_url IS NULL THEN 'repo_url: missing' WHEN api_status NOT IN ('OK', 'NOT_FOUND', 'RATE_LIMITED', 'ERROR') THEN 'api_status: not in its domain'
+WHEN stargazers_count < 0 THEN 'stargazers_count: negative' END AS violation FROM github_repo_snapshots""")
+def row_checks(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "github_repo_snapshots").select("id", violation("github_repo_snapshots").alias("violation")).distinct()
+
+
+@query(f"""
+WITH s AS (SELECT DISTINCT id, {_url("repo_url")} AS k FROM github_repo_snapshots)
+SELECT id, k AS repo_url, registered_at FROM s LEFT JOIN repo_registry r ON s.k = r.repo_url""")
+def snapshot_registration(spark: SparkSession, d: str) -> DataFrame:
+    """Each snapshot with its repository's registration, hot repositories spread over tasks."""
+    rows = table(spark, d, "github_repo_snapshots").select("id", F.explode(F.array(_canonical(F.col("repo_url")))).alias("repo_url")).distinct()
+    return salted_lookup(rows, table(spark, d, "repo_registry").select("repo_url", "registered_at"), "repo_url", "id").select("id", "repo_url", "registered_at")
+
+
+# Extraction results
+
+
+@query("""
+SELECT DISTINCT result_id, CASE WHEN json_valid(result_json) THEN json_extract_string(result_json, '$.validation_status') END AS validation_status FROM llm_live_result""")
+def result_status(spark: SparkSession, d: str) -> DataFrame:
+    """A field out of each result's JSON; NULL where the text can't be read."""
+    rows = table(spark, d, "llm_live_result").select("result_id", "result_json").distinct()
+    readable = F.try_parse_json("result_json").isNotNull()
+    return rows.select("result_id", F.when(readable, F.get_json_object("result_json", "$.validation_status")).alias("validation_status"))
+
+
+@query("""
+WITH r AS (SELECT DISTINCT result_id, result_json FROM llm_live_result WHERE json_valid(result_json)),
+f AS (SELECT result_id, coalesce(json_extract_string(result_json, '$.gemini.success') = 'true', false) AS g, coalesce(json_extract_string(result_json, '$.cohere.success') = 'true', false) AS c,
+      coalesce(json_extract_string(result_json, '$.groq.success') = 'true', false) AS q FROM r)
+SELECT result_id, CASE WHEN NOT g AND NOT c THEN 'no_extraction' WHEN NOT g AND NOT q THEN 'fallback_adjudication_failed' WHEN NOT g THEN 'fallback' WHEN NOT c THEN 'review_failed' WHEN NOT q THEN 'adjudication_failed' ELSE 'complete' END AS "exit" FROM f""")
+def result_route(spark: SparkSession, d: str) -> DataFrame:
+    """How each readable result left the pipeline, from the success of its stages."""
+    rows = table(spark, d, "llm_live_result").select("result_id", "result_json").distinct().where(F.try_parse_json("result_json").isNotNull())
+    ok = lambda p: F.get_json_object("result_json", f"$.{p}.success") == "true"
+    return rows.select("result_id", route(ok("gemini"), ok("cohere"), ok("cohere"), ok("groq")).alias("exit"))
+
+
+@query()
+def ground_results(spark: SparkSession, d: str) -> DataFrame:
+    """Final extractions held against the first provider's quotes as evidence."""
+    rows = table(spark, d, "llm_live_result").select("result_id", "result_json").distinct()
+    first = decode(F.get_json_object("result_json", "$.gemini.result"), EXTRACTION)
+    held = rows.select("result_id", F.coalesce(F.array_join(first["evidence_quotes"], " "), F.lit("")).alias("evidence"), decode(F.get_json_object("result_json", "$.final_extraction"), EXTRACTION).alias("x"))
+    return ground(held, "evidence", "x").select("result_id", "validation_status", F.array_join("validation_errors", "\n").alias("errors"))
