@@ -54,7 +54,7 @@ def fold(s: str) -> str:
     return "".join(c for c in unicodedata.normalize("NFKD", s.lower()) if not unicodedata.combining(c)).replace("ø", "o").replace("đ", "d").replace("ł", "l").replace("ß", "ss").replace("æ", "ae")
 
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+_LETTERS = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
 _PARENTHESES = re.compile(r"\([^)]*\)")
 
 
@@ -63,7 +63,14 @@ def parse_name(name: str | None) -> tuple[str, str] | None:
     if name is None:
         return None
     text = _PARENTHESES.sub(" ", unicodedata.normalize("NFKC", name))
-    words = [(m.group(), m.start()) for m in _LETTERS.finditer(text)]
+    words = []
+    for m in _LETTERS.finditer(text):
+        # A double given name stays one part; particles, initials and the words of a collaboration don't.
+        parts = m.group().split("-")
+        whole = len(parts) == 1 or not any(len(x) == 1 or x.lower() in PARTICLES for x in parts)
+        words += [(m.group(), m.start())] if whole else [(x, m.start()) for x in parts]
+    if any("-" in w for w, _ in words) and any(w.lower() in COLLABORATION and w.lower() != "the" for w, _ in words):
+        words = [(x, p) for w, p in words for x in w.split("-")]
     if not words or " ".join(w.lower() for w, _ in words) in FILLERS:
         return None
     mixed = any(w[1:].islower() for w, _ in words)
@@ -74,10 +81,11 @@ def parse_name(name: str | None) -> tuple[str, str] | None:
     if collaboration or (together and named[0][0].lower() == "the"):
         named = together
     shouting = all(w.isupper() for w, _ in named if len(w) > 3)
+    capitals = any(w.isupper() for w, _ in named if len(w) > 3)
     long, initials, particles = [], [], []
     for w, p in named:
         low = w.lower()
-        if low in PARTICLES and len(named) > 1 and (w.islower() or shouting):
+        if low in PARTICLES and len(named) > 1 and (w.islower() or (w.isupper() and capitals)):
             particles.append(low)
         elif len(w) == 1:
             initials.append(fold(low))
@@ -88,9 +96,9 @@ def parse_name(name: str | None) -> tuple[str, str] | None:
     comma = text.find(",")
     family = ""
     if long and not collaboration:
-        capitals = [x for x in long if x[1].isupper()] if len(long) > 1 and any(not x[1].isupper() for x in long) else []
+        loud = [x for x in long if x[1].isupper()] if len(long) > 1 and any(not x[1].isupper() for x in long) else []
         before = [x for x in long if x[2] < comma] if comma > 0 and text[comma - 1] != " " else []
-        family = (capitals[-1] if capitals else before[-1] if before and len(before) < len(long) + len(initials) else long[-1])[0]
+        family = (loud[-1] if loud else before[-1] if before and len(before) < len(long) + len(initials) else long[-1])[0]
     return "|".join((" ".join(sorted(x[0] for x in long)), " ".join(initials), " ".join(sorted(particles)), "c" if collaboration else "")), family
 
 
@@ -174,7 +182,9 @@ def _part_similarity(a: str, b: str) -> tuple[float, tuple[str, str] | None]:
 
 def _is_short(short: str, given: str) -> bool:
     """Whether a given name's beginning (with another last letter at most) or end is used as its short form."""
-    if not 3 <= len(short) < len(given):
+    if "-" in given:
+        return False
+    if not 3 <= len(short) <= 5 or len(short) >= len(given):
         return False
     return given.startswith(short) or given.endswith(short) or (len(short) > 3 and given.startswith(short[:-1]) and short[-1] in "aeiouy")
 
@@ -212,6 +222,10 @@ def compare(a: tuple[str, str, list[str] | None], b: tuple[str, str, list[str] |
             return none
         if m := _matched(la, lb):
             return m[0] / len(la), *m[1]
+    da, db = [x for t in la for x in t.split("-")], [x for t in lb for x in t.split("-")]
+    if len(la) != len(lb) and len(da) == len(db) and same_initials:  # a double name with and without its hyphen
+        if m := _matched(da, db):
+            return m[0] / len(da) - 0.01, *m[1]
     sides = ((la, ia, a[1], a[2], lb, ib, b[1]), (lb, ib, b[1], b[2], la, ia, a[1]))
     for lx, ix, fx, ex, ly, iy, fy in sides:  # x is the shorter way to write the name
         if len(lx) > 1 and len(ly) == len(lx) + 1 and not ga:  # a middle name in full
@@ -226,14 +240,15 @@ def compare(a: tuple[str, str, list[str] | None], b: tuple[str, str, list[str] |
         if s == 0:
             continue
         if len(lx) == 1 and ix:
-            letters = [fold(t)[0] for t in sorted(given, key=lambda t: fold(t)[0] != ix[0])] + iy
+            letters = [x[0] for t in sorted(given, key=lambda t: fold(t)[0] != ix[0]) for x in fold(t).split("-")] + iy
             if letters[0] == ix[0] and (len(ix) == 1 or len(letters) == 1 or ix[1] in letters[1:]):
                 return (0.9 + s) / 2, *(slip or ("", ""))
         elif len(lx) == len(ly) == 2 and same_initials:
             short = [t for t in lx if t != fx]
-            if len(short) == 1 and ex and any(fold(e) == fold(given[0]) for e in ex):
+            names = {fold(given[0]), fold(given[0]).split("-")[0]}  # of a double name, the first may be used alone
+            if len(short) == 1 and ex and any(fold(e) in names for e in ex):
                 return (0.92 + s) / 2, *(slip or ("", ""))
-            if len(short) == 1 and not slip and _is_short(fold(short[0]), fold(given[0])):
+            if len(short) == 1 and not slip and any(_is_short(fold(short[0]), n) for n in names):
                 return (0.88 + s) / 2, "", ""
     return none
 
