@@ -37,26 +37,30 @@ def dot_product_pack(items: np.ndarray, limits: np.ndarray) -> np.ndarray:
     alone = (scaled > 1).any(1)
     bins[number[alone]] = np.arange(int(alone.sum()))
     opened = int(alone.sum())
-    scaled, number = scaled[~alone], number[~alone]
+    # One array a dimension: comparing columns is several times as fast as comparing short rows.
+    number, columns = number[~alone], [np.ascontiguousarray(c) for c in scaled[~alone].T]
+    falling = -columns[0]
     left = np.ones(len(number), bool)
     first = 0  # all before it are placed
     while first < len(number):
-        room = np.ones(items.shape[1])
+        room = [1.0] * len(columns)
         k = first
         while k >= 0:
             left[k] = False
             bins[number[k]] = opened
-            room -= scaled[k]
+            room = [r - c[k] for r, c in zip(room, columns)]
             while first < len(number) and not left[first]:
                 first += 1
             # Sorted by the first dimension: what is too large in it needn't be looked at.
-            start = max(first, int(np.searchsorted(-scaled[:, 0], -room[0] - 1e-9)))
-            rest = scaled[start:]
-            fits = left[start:] & (rest <= room + 1e-9).all(1)
-            if not fits.any():
+            start = max(first, int(np.searchsorted(falling, -room[0] - 1e-9)))
+            fits = left[start:].copy()
+            for r, c in zip(room[1:], columns[1:]):
+                fits &= c[start:] <= r + 1e-9
+            found = np.flatnonzero(fits)
+            if not len(found):
                 break
-            value = np.where(fits, rest @ (weight * room), -1.0)
-            k = start + int(value.argmax())
+            value = sum(w * r * c[start:][found] for w, r, c in zip(weight, room, columns))
+            k = start + int(found[value.argmax()])
         opened += 1
     return bins
 
