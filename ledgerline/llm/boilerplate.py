@@ -99,7 +99,12 @@ _DIGITS = re.compile(r"\d+")
 
 
 def _hash(text: str) -> int:
-    return int.from_bytes(hashlib.blake2b(_DIGITS.sub("0", text).encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+    return int.from_bytes(hashlib.blake2b(text.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little", signed=True)
+
+
+def text_key(text: str) -> int:
+    """A hash under which texts that differ in digits only are one: counts and dates don't make a notice another notice."""
+    return _hash(_DIGITS.sub("0", text))
 
 
 def read_lines(html: str) -> dict[str, list]:
@@ -111,7 +116,7 @@ def read_lines(html: str) -> dict[str, list]:
     out: dict[str, list] = {k: [] for k in ("tag", "box", "chars", "links", "tags", "control", "title", "closed", "text")}
     for tag, box, parts, links, tags, control in p.lines:
         text = " ".join("".join(parts).split())
-        for key, value in zip(out, (tag, box, len(text), min(links, len(text)), tags, control > 0, bool(text) and title.startswith(text), text[-1:] in ".!?:;…", _hash(text) if text else 0)):
+        for key, value in zip(out, (tag, box, len(text), min(links, len(text)), tags, control > 0, bool(text) and title.startswith(text), text[-1:] in ".!?:;…", text_key(text) if text else 0)):
             out[key].append(value)
     out["parents"] = [p.parents[k] for k in range(len(p.parents))]
     return out

@@ -339,7 +339,7 @@ def star_clusters(nodes: DataFrame, links: DataFrame) -> DataFrame:
     edges = cut(both.groupBy("a", "b").agg(F.max("score").alias("score")).join(ranked("a"), "a").join(ranked("b"), "b"))
     open_edges, centers = edges.select("a", "b", order("a").alias("oa"), order("b").alias("ob")), None
     while True:
-        # Among undecided nodes: those that outrank every undecided neighbour. Nodes whose neighbours are all decided (not centres) are found through `left_over`.
+        # Among undecided nodes: those that outrank every undecided neighbour.
         new = cut(open_edges.groupBy("a").agg(F.max(F.col("ob")).alias("top"), F.first("oa").alias("oa")).where(F.col("oa") > F.col("top")).select(F.col("a").alias("id")))
         if new.isEmpty():
             break
@@ -349,8 +349,10 @@ def star_clusters(nodes: DataFrame, links: DataFrame) -> DataFrame:
         open_edges = cut(open_edges.join(gone, "a", "left_anti").join(gone.select(F.col("a").alias("b")), "b", "left_anti"))
     if centers is None:
         return nodes.select("id", F.col("id").alias("center"))
-    best = edges.join(centers.select(F.col("id").alias("b")), "b", "left_semi").join(centers.select(F.col("id").alias("a")), "a", "left_anti").groupBy(F.col("a").alias("id")).agg(F.max_by("b", F.struct("score", order("b"))).alias("center"))
-    # Nodes whose neighbours all went to other centres have no centre beside them: they are their own.
+    # Everyone else is a centre too: a node whose neighbours all belong to other centres has dropped out of the open links undecided.
+    satellites = cut(edges.join(centers.select(F.col("id").alias("b")), "b", "left_semi").select(F.col("a").alias("id")).distinct())
+    own = edges.join(satellites.select(F.col("id").alias("a")), "a", "left_semi").join(satellites.select(F.col("id").alias("b")), "b", "left_anti")
+    best = own.groupBy(F.col("a").alias("id")).agg(F.max_by("b", F.struct("score", order("b"))).alias("center"))
     return nodes.select("id").join(best, "id", "left").withColumn("center", F.coalesce("center", "id"))
 
 
