@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.session import cut
+
 #: A key is hot from one in MAX_HOT of the rows on, so there can't be more than MAX_HOT of them: the bound of the broadcast.
 MAX_HOT = 1000
 
@@ -30,7 +32,8 @@ def salted_lookup(rows: DataFrame, keys: DataFrame, key: str, spread: str, salts
     keys has one row a key; only its hot ones are repeated, so it grows by at most max_hot * salts rows.
     The broadcast side is the list of hot keys, of at most max_hot rows. NULL keys match nothing and stay.
     """
-    hot = F.broadcast(hot_keys(rows, key, max_hot).select(F.col(key).alias("__hot"), F.lit(True).alias("__is_hot")))
+    # Stored, as both sides look at it; else the rows would be counted once for each.
+    hot = F.broadcast(cut(hot_keys(rows, key, max_hot).select(F.col(key).alias("__hot"), F.lit(True).alias("__is_hot"))))
     left = (
         rows.join(hot, F.col(key) == F.col("__hot"), "left")
         .withColumn("__salt", F.when(F.col("__is_hot") | F.col(key).isNull(), F.pmod(F.xxhash64(spread), F.lit(salts))).otherwise(0).cast("int"))
