@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 BANDS = ("plain", "student", "expert")
 #: Most graded documents from which the model is fitted, chosen by a hash of their id; accuracy is level from about 750 on.
 SAMPLE_DOCS = 4000
+#: A document's grades weigh as their number, up to this many: one that is graded over and over isn't the whole model.
+MOST_WEIGHT = 4.0
 RIDGE = 3.0
 _FOLDS = 5
 
@@ -100,9 +102,10 @@ def features(text: str, parts: list[list[str]], table: Table) -> list[float]:
     return [plain / n, expert / n, best[0] / n, best[2] / n, rare / n, letters / n, math.log(n / len(parts)), math.log(kinds + 1) / math.log(n + 1), joins / n, math.log1p((opens + text.count(",")) / len(parts))]
 
 
-def fit_ordinal(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> tuple[np.ndarray, np.ndarray]:
+def fit_ordinal(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE, weight: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Weights and the two cuts of a cumulative logit model with a penalty on the weights, by Newton's method."""
     n, p = x.shape
+    weight = np.ones(n) if weight is None else weight
     par = np.concatenate((np.zeros(p), [-1.0, 1.0]))
     penalty = np.concatenate((np.full(p, ridge), [1e-3, 1e-3]))
     for _ in range(100):
@@ -111,8 +114,8 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> tuple[np.
             z = np.column_stack((x, np.zeros((n, 2))))
             z[:, p + k] = -1.0
             q = 1 / (1 + np.exp(-np.clip(z @ par, -30, 30)))
-            grad += z.T @ ((y > k) - q)
-            hess += (z * (q * (1 - q))[:, None]).T @ z
+            grad += z.T @ (weight * ((y > k) - q))
+            hess += (z * (weight * q * (1 - q))[:, None]).T @ z
         step = np.linalg.solve(hess, grad)
         par += step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-12))
         if np.abs(step).max() < 1e-7:
@@ -120,21 +123,27 @@ def fit_ordinal(x: np.ndarray, y: np.ndarray, ridge: float = RIDGE) -> tuple[np.
     return par[:p], np.sort(par[p:])
 
 
-def fit_model(texts: Sequence[str], bands: Sequence[Sequence[int]]) -> tuple[Table, np.ndarray, np.ndarray]:
-    """(word table, weights on raw features with the intercept last, cuts). Features of a graded document come from tables made without its fold."""
+def fit_model(texts: Sequence[str], grades: Sequence[Sequence[int]]) -> tuple[Table, np.ndarray, np.ndarray]:
+    """(word table, weights on raw features with the intercept last, cuts); grades: how often each band was given to each text.
+
+    Features of a graded document come from tables made without its fold.
+    """
     parsed = [sentences(t) for t in texts]
-    level = [float(np.mean(b)) for b in bands]
-    x, y = [], []
+    count = np.array(grades, float).reshape(len(texts), 3)
+    count *= np.minimum(1.0, MOST_WEIGHT / count.sum(1))[:, None]
+    level = (count @ [0.0, 1.0, 2.0]) / count.sum(1)
+    x = np.zeros((len(texts), len(FEATURES)))
     for f in range(_FOLDS):
         rest = [k for k in range(len(texts)) if k % _FOLDS != f]
         table = rarity_table([parsed[k] for k in rest], [level[k] for k in rest])
         for k in range(f, len(texts), _FOLDS):
-            row = features(texts[k], parsed[k], table)
-            x += [row] * len(bands[k])
-            y += list(bands[k])
-    xs = np.array(x)
-    mean, scale = xs.mean(0), xs.std(0) + 1e-9
-    w, cuts = fit_ordinal((xs - mean) / scale, np.array(y))
+            x[k] = features(texts[k], parsed[k], table)
+    weight = count.T.reshape(-1)
+    rows, bands = np.tile(x, (3, 1))[weight > 0], np.repeat(np.arange(3), len(texts))[weight > 0]
+    weight = weight[weight > 0]
+    mean = np.average(rows, axis=0, weights=weight)
+    scale = np.sqrt(np.average((rows - mean) ** 2, axis=0, weights=weight)) + 1e-9
+    w, cuts = fit_ordinal((rows - mean) / scale, bands, weight=weight)
     return rarity_table(parsed, level), np.concatenate((w / scale, [-(mean / scale) @ w])), cuts
 
 
@@ -147,14 +156,14 @@ def reading_bands(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id
     The word table that is sent to all tasks holds the words of the graded sample only. Other columns are not read.
     """
     grade = F.lower(F.trim(band))
-    code = F.array_position(F.array(*map(F.lit, BANDS)), grade).cast("int") - 1
-    graded = labels.where(grade.isin(*BANDS)).groupBy(F.col(doc_id).alias("g_id")).agg(F.collect_list(code).alias("codes"))
+    # Counts, not lists: a document may have a third of all grades.
+    graded = labels.where(grade.isin(*BANDS)).groupBy(F.col(doc_id).alias("g_id")).agg(F.array(*(F.count_if(grade == b) for b in BANDS)).alias("grades"))
     chosen = F.broadcast(graded.orderBy(F.xxhash64("g_id"), "g_id").limit(sample_docs))
-    sample = documents.select(F.col(doc_id).alias("d_id"), F.col(text).alias("d_text")).where(F.col("d_text").isNotNull()).join(chosen, F.col("d_id") == F.col("g_id")).select("d_id", "d_text", F.array_sort("codes").alias("codes"))
+    sample = documents.select(F.col(doc_id).alias("d_id"), F.col(text).alias("d_text")).where(F.col("d_text").isNotNull()).join(chosen, F.col("d_id") == F.col("g_id")).select("d_id", "d_text", "grades")
 
     def fitted(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("d_id").sort_values("d_id")
-        table, weights, cuts = fit_model(pdf["d_text"].tolist(), [list(c) for c in pdf["codes"]])
+        table, weights, cuts = fit_model(pdf["d_text"].tolist(), [list(c) for c in pdf["grades"]])
         words = sorted(table)
         values = np.array([table[w] for w in words]).reshape(len(words), 3)
         return pd.DataFrame({"words": [words], "plain": [values[:, 0]], "expert": [values[:, 1]], "rare": [values[:, 2]], "weights": [weights], "cuts": [cuts]})
