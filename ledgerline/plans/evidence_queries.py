@@ -16,7 +16,7 @@ from ledgerline.operators.validate import build_exports
 from ledgerline.plans.core_queries import _url
 from ledgerline.schemas import evidence_strength, violation
 from ledgerline.session import table
-from ledgerline.sources.attempts import backoff, fold_attempts, repo_outcome
+from ledgerline.sources.attempts import backoff, fold_attempts, provider_wait, repo_outcome
 from ledgerline.sources.feed import discovered, feed_papers, page_plan
 from ledgerline.sources.log import events
 from ledgerline.sources.pages import anchors, link_candidates
@@ -123,6 +123,17 @@ def backoff_plan(spark: SparkSession, d: str) -> DataFrame:
     return spark.range(1, 11).select(F.col("id").alias("attempt"), backoff(F.col("id").cast("double")).alias("seconds"))
 
 
+@query("""
+WITH s AS (SELECT * FROM (VALUES (200), (413), (429), (500), (503)) t(status)), a AS (SELECT range AS attempt FROM range(1, 8)), h AS (SELECT * FROM (VALUES (NULL), ('7'), ('soon')) t(retry_after))
+SELECT status, attempt, retry_after, CASE WHEN status = 429 THEN least(CASE WHEN retry_after IS NULL THEN pow(2, attempt - 1) WHEN retry_after = '7' THEN 7 ELSE 2 END, 30)
+WHEN status >= 500 THEN least(pow(2, attempt - 1), 10) END::DOUBLE AS seconds FROM s, a, h""")
+def provider_backoff(spark: SparkSession, d: str) -> DataFrame:
+    """Waits of an extraction provider by status, attempt and what the server asks for."""
+    each = F.explode(F.array(*map(F.lit, (200, 413, 429, 500, 503)))).alias("status")
+    plan = spark.range(1, 8).select(F.col("id").alias("attempt"), each).select("attempt", "status", F.explode(F.array(F.lit(None).cast("string"), F.lit("7"), F.lit("soon"))).alias("retry_after"))
+    return plan.select("status", "attempt", "retry_after", provider_wait(F.col("status"), F.col("attempt").cast("double"), F.col("retry_after")).alias("seconds"))
+
+
 @query(f"SELECT DISTINCT repo_url AS url, {_url('repo_url')} AS repo_url FROM paper_repo_links")
 def normalize_repo_url(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "paper_repo_links").select(F.col("repo_url").alias("url")).distinct().select("url", _canonical(F.col("url")).alias("repo_url"))

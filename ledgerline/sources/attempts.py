@@ -32,6 +32,16 @@ def backoff(attempt: Column, base: float = 1.0, most: float = 60.0) -> Column:
     return F.least(F.lit(base) * F.pow(F.lit(2.0), attempt - 1), F.lit(most))
 
 
+def provider_wait(status: Column, attempt: Column, retry_after: Column) -> Column:
+    """Seconds waited after an attempt (from 1) at an extraction provider, without jitter; NULL where there is no other try.
+
+    429: what the server asks for, 2 if that can't be read, else doubling from 1; 30 at most. Others that are tried again: doubling from 1, 10 at most.
+    """
+    doubled = F.pow(F.lit(2.0), attempt - 1)
+    asked = F.when(retry_after.isNull() | (retry_after == ""), doubled).otherwise(F.coalesce(F.try_to_number(retry_after, F.lit("999999D999")).cast("double"), F.expr("2.0D")))
+    return F.when(status == 429, F.least(asked, F.lit(30.0))).when(status.isNull() | status.isin(500, 502, 503, 504), F.least(doubled, F.lit(10.0)))
+
+
 def fold_attempts(log: DataFrame, key: str, order: str, outcome: Column, max_attempts: int = 5, base: float = 1.0, most: float = 60.0) -> DataFrame:
     """(key, attempts_used, api_status, waited): each key's attempts in order, up to the first final one or max_attempts.
 

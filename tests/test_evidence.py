@@ -19,7 +19,7 @@ from ledgerline.sources.attempts import fold_attempts, page_outcome, repo_outcom
 from ledgerline.sources.feed import discovered, feed_papers, page_plan
 from ledgerline.sources.log import events
 from ledgerline.sources.pages import anchors, link_candidates
-from ledgerline.sources.replay import HttpPages, replay_pages
+from ledgerline.sources.replay import HttpPages, RepoLookups, replay_pages
 from ledgerline.sources.sheet import chunked, sheet_rows, write_sheet
 from ledgerline.streaming.incremental import ingest, ingest_stream
 from ledgerline.tables import SnapshotStore
@@ -113,6 +113,38 @@ def test_replay_and_source(spark):
     assert spark.createDataFrame([(302,)], "s int").select(page_outcome(F.col("s"))).first()[0] == "OK"
 
 
+def test_repo_lookups(spark):
+    import threading
+    from http.server import BaseHTTPRequestHandler, HTTPServer
+
+    calls = {}
+
+    class Api(BaseHTTPRequestHandler):
+        def do_GET(self):
+            name = self.path.rpartition("/")[2]
+            calls[name] = calls.get(name, 0) + 1
+            code, body, remaining = {"ok": (200, '{"stargazers_count": 7}', "5"), "bare": (200, "{}", "5"), "none": (404, "", "5"), "limit": (403, "", "0"), "denied": (403, "", "5"), "down": (500, "", "5"), "wait": (429, "", "5"), "minus": (200, '{"stargazers_count": -1}', "5")}[name]
+            self.send_response(code)
+            self.send_header("X-RateLimit-Remaining", remaining)
+            self.end_headers()
+            self.wfile.write(body.encode())
+
+        def log_message(self, *_):
+            pass
+
+    server = HTTPServer(("127.0.0.1", 0), Api)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        spark.dataSource.register(RepoLookups)
+        urls = [f"https://github.com/o/{n}" for n in ("ok.git", "bare", "none", "limit", "denied", "down", "wait", "minus")] + ["junk"]
+        rows = spark.read.format("repo_lookups").options(urls=json.dumps(urls), api_base=f"http://127.0.0.1:{server.server_port}", attempts="3", base="0", jitter="0", partitions="2").load().collect()
+    finally:
+        server.shutdown()
+    got = {r.repo_url.rpartition("/")[2]: (r.api_status, r.stargazers_count, r.exists_verified) for r in rows}
+    assert got == {"ok.git": ("OK", 7, True), "bare": ("OK", None, True), "none": ("NOT_FOUND", None, False), "limit": ("RATE_LIMITED", None, False), "denied": ("ERROR", None, False), "down": ("ERROR", None, False), "wait": ("RATE_LIMITED", None, False), "minus": ("OK", None, True), "junk": ("ERROR", None, False)}
+    assert calls == {"ok": 1, "bare": 1, "none": 1, "limit": 3, "denied": 1, "down": 3, "wait": 3, "minus": 1}
+
+
 ATOM = '<feed xmlns="http://www.w3.org/2005/Atom">{}</feed>'
 ENTRY = "<entry><id>http://h/abs/{0}v1</id><title> A \n  b </title><summary>{2}</summary><published>{1}</published>{3}</entry>"
 AUTHOR = "<author><name> Ann </name></author>"
