@@ -175,7 +175,7 @@ def main_lines(page: dict, repeated: set[int], sigma: float = SIGMA) -> list[int
     under = 0
     for k in range(n):
         if own[k]:
-            under = 2 if tag[k] in _HEADINGS else max(under, 1) if chars[k] and not page["closed"][k] and tag[k] == _P else under if under == 2 else 0
+            under = 2 if tag[k] in _HEADINGS else max(under, 1) if tag[k] == _P and chars[k] and not page["closed"][k] and _labels(k, tag, chars, links) else under if under == 2 else 0
         elif under == 2 and tag[k] in _HEADINGS or under == 1 and tag[k] not in (_LI, _TD):
             under = 0
         if under and tag[k] != 0:
@@ -195,6 +195,15 @@ def main_lines(page: dict, repeated: set[int], sigma: float = SIGMA) -> list[int
     return (np.flatnonzero(keep) + 1).tolist()
 
 
+def _labels(k: int, tag: np.ndarray, chars: np.ndarray, links: np.ndarray) -> bool:
+    """Whether what follows line k at once is a list of nothing but links, or a table."""
+    end = k + 1
+    while end < len(tag) and tag[end] == _LI:
+        end += 1
+    run = slice(k + 1, end)
+    return bool((links[run] >= 0.9 * chars[run]).all()) if end > k + 1 else end < len(tag) and tag[end] == _TD
+
+
 def _within(home: int, parents: list[int]) -> np.ndarray:
     inside = np.zeros(len(parents), bool)
     for k in range(len(parents)):  # parents come before their children

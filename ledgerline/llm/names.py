@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.operators.skew import hot_keys
+from ledgerline.operators.skew import salted_lookup
 from ledgerline.session import cut
 
 #: Texts that stand in author lists but name nobody.
@@ -289,8 +289,8 @@ def name_links(forms: DataFrame, block: int = BLOCK) -> DataFrame:
 
     rows = forms.select("form", "family", "expansions", "id").mapInPandas(banded, schema).distinct()
     rows = cut(rows)
-    hot = F.broadcast(hot_keys(rows, "bucket", 20_000).where(F.col("n") > block).select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks")))
-    split = rows.join(hot, "bucket", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    large = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
+    split = salted_lookup(rows, large, "bucket", "id").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
     left = split.select("bucket", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("salt"), F.col("id").alias("a"), F.col("asks").alias("asks_a"), "kind")
     right = split.select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"), F.col("id").alias("b"), F.col("asks").alias("asks_b"))
     pairs = left.join(right, ["bucket", "salt"]).where((F.col("a") < F.col("b")) & (F.col("kind") | F.col("asks_a") | F.col("asks_b"))).select("a", "b").distinct()
