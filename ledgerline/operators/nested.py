@@ -286,21 +286,51 @@ class XmlIndex:
         #: The level an element lies in: 0 for the root.
         self.depth = run - before[doc] - self.opens if len(run) else run
         self.parent = _enclosing(left, self.depth, doc, self.opens)
-        following = np.concatenate((left[1:], [len(b)])) if len(left) else left
-        self.text_end = following
-        self._bytes = b
+        self.text_end = np.concatenate((left[1:], [len(b)])) if len(left) else left
+        self.colons = np.flatnonzero(b == 0x3A)
+        self._bytes, self._known = b, {}
+        self._ends = np.zeros(256, bool)
+        self._ends[list(b" \t\r\n/>")] = True
+        # Texts in which another tag than the root declares a namespace.
+        declares = np.array([m.start() for m in re.finditer(b"xmlns", self.raw)], int)
+        tag = np.searchsorted(left, declares) - 1
+        inner = (tag >= 0) & (self.depth[np.maximum(tag, 0)] > 0) if len(left) else np.zeros(len(declares), bool)
+        self.redeclared = set(np.unique(doc[tag[inner]]).tolist()) if len(left) else set()
 
     def named(self, local: bytes, level: int) -> np.ndarray:
-        """Indices of start tags of elements in the Atom namespace with this local name at this level."""
-        tags = np.flatnonzero(~self.close & (self.depth == level))
-        return tags[[self._is(t, local) for t in tags]] if len(tags) else tags
-
-    def _is(self, t: int, local: bytes) -> bool:
-        prefix, _, name = self._name(t).rpartition(b":")
-        return name == local and self._namespace(t, prefix) == ATOM.encode()
+        """Indices of start tags of elements in the Atom namespace with this local name at this level.
 
-    def _name(self, t: int) -> bytes:
-        return re.split(rb"[\s/>]", self.raw[self.left[t] + 1 : self.end[t] + 1], maxsplit=1)[0]
+        Names are compared for all tags at once, byte by byte: after "<", or after the first colon of a prefixed name. What is left is
+        held against the namespace its prefix is bound to.
+        """
+        tags = np.flatnonzero(~self.close & (self.depth == level))
+        if not len(tags):
+            return tags
+        start = self.left[tags] + 1
+        k = np.searchsorted(self.colons, start)
+        colon = np.where(k < len(self.colons), self.colons[np.minimum(k, max(len(self.colons) - 1, 0))], -1) if len(self.colons) else np.full(len(tags), -1)
+        plain, prefixed = self._spells(start, local), (colon > 0) & (colon < self.end[tags]) & self._spells(colon + 1, local)
+        hits = np.flatnonzero(plain | prefixed)
+        prefixes = [b"" if plain[h] else self.raw[start[h] : colon[h]] for h in hits]
+        return tags[[h for h, p in zip(hits, prefixes) if not re.search(rb"[\s/>]", p) and self._in_atom(int(tags[h]), p)]]
+
+    def _spells(self, at: np.ndarray, name: bytes) -> np.ndarray:
+        """Whether a name stands at each place, and ends there."""
+        b, last = self._bytes, len(self._bytes) - 1
+        same = np.ones(len(at), bool)
+        for k, c in enumerate(name):
+            same &= b[np.minimum(at + k, last)] == c
+        return same & self._ends[b[np.minimum(at + len(name), last)]]
+
+    def _in_atom(self, t: int, prefix: bytes) -> bool:
+        """Whether a prefix is bound to the Atom namespace at a tag; once a text and prefix where the root alone declares any."""
+        doc = int(self.doc[t])
+        if doc in self.redeclared:
+            return self._namespace(t, prefix) == ATOM.encode()
+        key = (doc, prefix)
+        if key not in self._known:
+            self._known[key] = self._namespace(t, prefix) == ATOM.encode()
+        return self._known[key]
 
     def _namespace(self, t: int, prefix: bytes) -> bytes | None:
         """The namespace a prefix is bound to at a tag: the nearest declaration on the tag or an ancestor."""

@@ -94,12 +94,15 @@ def observations_of_papers(observations: DataFrame, links: DataFrame) -> DataFra
     return direct.unionByName(shared).distinct().join(once, "__id").drop("__id")
 
 
-def unverified(papers: DataFrame, links: DataFrame, snapshots: DataFrame, url: Column) -> DataFrame:
+def unverified(papers: DataFrame, links: DataFrame, snapshots: DataFrame, url: Column, any_status: bool = True) -> DataFrame:
     """(paper id, repo_url, first_seen_at) of RESOLVED papers whose selected repository has no snapshot of any status.
 
+    With any_status False only OK and NOT_FOUND snapshots count, so that failed look-ups are made again.
+
     `url` makes repo_url comparable on both sides. The anti-join needs each repository once: a hot repository's snapshots are combined first.
     """
-    known = snapshots.select(url.alias("__url")).where(F.col("__url").isNotNull()).distinct()
+    told = snapshots if any_status else snapshots.where(F.col("api_status").isin("OK", "NOT_FOUND"))
+    known = told.select(url.alias("__url")).where(F.col("__url").isNotNull()).distinct()
     chosen = links.where(F.col("is_selected")).select(F.lower("paper_id").alias("__paper"), "repo_url", url.alias("__url"))
     open_ = papers.where(F.col("status") == "RESOLVED").select("id", F.lower("id").alias("__paper"), "first_seen_at").join(chosen, "__paper")
     return open_.join(known, "__url", "left_anti").select("id", "repo_url", "first_seen_at").distinct()

@@ -16,13 +16,16 @@ def page_plan(spark: SparkSession, base: str, max_results: int, page_size: int)
     )
 
 
-def discovered(pages: DataFrame, scope: str, start: str, failed: str, payload: str) -> DataFrame:
-    """The pages that count: all before the first failed one, up to and with the first one without a literal "<entry>".
+def discovered(pages: DataFrame, scope: str, start: str, failed: str, payload: str, entry: str = r"<entry>") -> DataFrame:
+    r"""The pages that count: all before the first failed one, up to and with the first one without an entry.
+
+    entry is the pattern that tells an entry; as it stands only a literal "<entry>" does, so a page whose entries have attributes or a
+    prefix ends a run. r"<(\w+:)?entry[\s/>]" takes those too.
 
     Per scope (one discovery run). NULL payloads of pages that didn't fail count as pages without entries. The least stops are found
     by an aggregate and joined back, so no window holds a run's pages.
     """
-    stop = F.coalesce(~F.contains(payload, F.lit("<entry>")), F.lit(True))
+    stop = F.coalesce(~F.col(payload).rlike(entry), F.lit(True))
     bad = F.coalesce(F.col(failed), F.lit(False))
     ends = pages.groupBy(F.col(scope).alias("__scope")).agg(F.min(F.when(bad, F.col(start))).alias("__fail"), F.min(F.when(~bad & stop, F.col(start))).alias("__last"))
     joined = pages.join(ends, F.col(scope).eqNullSafe(F.col("__scope")))

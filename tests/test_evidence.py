@@ -165,6 +165,17 @@ def test_page_plan_and_stops(spark):
     assert sorted((r.run, r.start) for r in got.collect()) == [("r", 0), ("r", 1), ("s", 0), ("t", 0)]
 
 
+def test_switches(spark):
+    pages = spark.createDataFrame([("r", 0, False, "<a:entry x='1'>"), ("r", 1, False, "<entry>")], "run string, start int, failed boolean, body string")
+    assert discovered(pages, "run", "start", "failed", "body").count() == 1
+    assert discovered(pages, "run", "start", "failed", "body", entry=r"<(\w+:)?entry[\s/>]").count() == 2
+    papers = spark.createDataFrame([("P", "RESOLVED", T0)], "id string, status string, first_seen_at timestamp")
+    links = spark.createDataFrame([("p", "https://github.com/a/b", True)], "paper_id string, repo_url string, is_selected boolean")
+    snaps = spark.createDataFrame([("https://github.com/a/b/", "RATE_LIMITED")], "repo_url string, api_status string")
+    url = repo_url(F.col("repo_url"))
+    assert R.unverified(papers, links, snaps, url).count() == 0 and R.unverified(papers, links, snaps, url, any_status=False).count() == 1
+
+
 def test_exports_gate_and_rejects(spark):
     papers = spark.createDataFrame([("P1", "1", "u1", "T", ["a", None, "b"], T0), ("p2", "2", "u2", " \xa0", ["a"], None), ("p3", "3", "u3", "T", [], None), ("p4", " ", "u4", "", None, None), ("p5", "5", "u5", "T", ["a"], None)], "id string, arxiv_id string, canonical_url string, title string, authors array<string>, published_date timestamp")
     links = spark.createDataFrame([("l1", "p1", "https://github.com/a/b", "t", True), ("l5", "p5", "https://github.com/c/d", "t", True), ("l6", "p5", "https://github.com/a/b", "t", False)], "id string, paper_id string, repo_url string, evidence_type string, is_selected boolean")
