@@ -154,8 +154,9 @@ class _Extractions:
 
     def run(self, ids: list[str], texts: list[str | None]) -> list[tuple]:
         """(record_id, node, parent_no 0, claim_no, field, value, evidence_quote, supported)"""
-        todo = [(i, "", raw, "root") for i, t in zip(ids, texts) if t is not None and (raw := _readable(t)) is not None]
-        claims: list[tuple] = []  # id, node, place in reading order, object
+        # Rows go by their place here: a row written twice must not go on with the numbers of its copy.
+        todo = [(k, "", raw, "root") for k, t in enumerate(texts) if t is not None and (raw := _readable(t)) is not None]
+        claims: list[tuple] = []  # row, node, place in reading order, object
         while todo:
             later: list[tuple] = []
             for a, z in _blocks([t[2] for t in todo]):
@@ -163,9 +164,9 @@ class _Extractions:
             todo = later
         claims.sort(key=lambda c: (c[0], c[1], c[2]))
         out, last, number = [], None, 0
-        for record, node, _, claim in claims:
-            number = number + 1 if last == (record, node) else 1
-            last = (record, node)
+        for row, node, _, claim in claims:
+            number = number + 1 if last == (row, node) else 1
+            last, record = (row, node), ids[row]
             supported = claim.get("supported")
             out.append((record, node, 0, number, _value_text(claim.get("field")) or "", _value_text(claim.get("value")), _value_text(claim.get("evidence_quote")), supported if isinstance(supported, bool) else None))
         return out

@@ -96,6 +96,14 @@ def test_index_depth_and_escapes():
     assert [k[2] for k in x.keys({b"c": "c", b"e": "e"})] == [1, 2]
 
 
+def test_copies_in_one_batch_are_numbered_alike():
+    text = json.dumps({"final_extraction": {"claims": [{"field": "a"}, {"field": "b"}]}})
+    rows = [r[:5] for r in _claim_rows(["1", "1", "2"], [text] * 3)]
+    assert rows == [("1", "final_extraction", 0, 1, "a"), ("1", "final_extraction", 0, 2, "b")] * 2 + [("2", "final_extraction", 0, 1, "a"), ("2", "final_extraction", 0, 2, "b")]
+    feeds = [r[:4] for r in _feed_rows(["1", "1"], FEEDS[:1] * 2)]
+    assert len(feeds) == 2 * len(set(feeds))
+
+
 def test_large_block_equals_small_blocks(monkeypatch):
     rng = random.Random(3)
     texts = [json.dumps({"final_extraction": {"claims": [{"field": str(rng.random())} for _ in range(rng.randint(0, 5))]}}) for _ in range(60)]
