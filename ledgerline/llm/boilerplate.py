@@ -156,16 +156,21 @@ def main_lines(page: dict, repeated: set[int], sigma: float = SIGMA) -> list[int
     ratio = np.where(own, 0.0, np.maximum(chars - links, 0.0) / np.maximum(tags, 1.0))
     smoothed = _smooth(ratio, sigma)
     content = smoothed >= _threshold(smoothed)
-    # The title heading; without one, where the content cluster with the most text starts.
+    # The region is that of the content cluster: the element with the most text in content lines. The exact check is the page's title: the
+    # heading that repeats it stands in the article, so its element is the region's where both differ.
+    mass = np.bincount(box, np.where(content & ~own, chars, 0.0), minlength=len(parents))
+    home = int(mass.argmax())
     heads = [k for k in range(n) if tag[k] in _HEADINGS and page["title"][k]] or [k for k in range(n) if tag[k] == 0 and not own[k]]
-    mass = np.bincount(box, np.where(content, chars, 0.0), minlength=len(parents))
-    home = int(box[heads[0]]) if heads else int(mass.argmax())
-    inside = _within(home, parents)
-    first = heads[0] if heads else int(np.flatnonzero(content & (box == home))[:1].sum())
+    if heads:
+        home = int(box[heads[0]])
+    elif not mass[home]:
+        return []
+    # It starts at the title, or else at the first content line, and goes on over the short lines between and after content lines.
+    first = heads[0] if heads else int(np.flatnonzero(content & (box == home))[0])
     keep = (chars > 0) & ~own & (np.arange(n) >= first)
     if home:
-        keep &= inside[box]
-        for inset in {int(b) for b in box[keep]} - {home}:
+        keep &= _within(home, parents)[box]
+        for inset in {int(b) for b in box[keep]} - {home}:  # an element within is left out unless the cluster has as much text in it
             if mass[inset] <= mass[home] / 2:
                 keep &= box != inset
     else:
