@@ -9,6 +9,13 @@ from pyspark.sql import functions as F
 EXTRACTION = "struct<company: string, role_family: string, is_remote: boolean, summary: string, evidence_quotes: array<string>, claims: array<struct<field: string, value: string, evidence_quote: string, supported: boolean>>>"
 REVIEW = f"struct<corrected_extraction: {EXTRACTION}, corrections: array<string>, added_information: array<string>, removed_information: array<string>, review_status: string>"
 REVIEW_STATUS = ("ACCEPTED", "CORRECTED", "CONFLICT", "INSUFFICIENT_EVIDENCE")
+# The errors' texts, each followed by the quote or field at fault.
+BAD_QUOTE = "Evidence quote not found in source: "
+NO_QUOTE = "Supported claim has no evidence quote: "
+BAD_CLAIM_QUOTE = "Claim evidence quote not found in source: "
+NO_VALUE = "Supported claim has no value: "
+NO_CLAIM = "Non-null field has no supported claim: "
+
 #: Fields that need a supported claim, in the order in which they are reported.
 FIELDS = ("company", "role_family", "is_remote", "summary")
 
@@ -29,18 +36,18 @@ def grounding_errors(evidence: Column, x: Column) -> Column:
     NULL elements are skipped.
     """
     quotes = F.filter(F.coalesce(x["evidence_quotes"], F.array().cast("array<string>")), lambda q: q.isNotNull())
-    bad_quotes = F.transform(F.filter(quotes, lambda q: ~_holds(evidence, q)), lambda q: F.concat(F.lit("Evidence quote not found in source: "), q))
+    bad_quotes = F.transform(F.filter(quotes, lambda q: ~_holds(evidence, q)), lambda q: F.concat(F.lit(BAD_QUOTE), q))
     claims = F.filter(F.coalesce(x["claims"], F.from_json(F.lit("[]"), "array<struct<field: string, value: string, evidence_quote: string, supported: boolean>>")), lambda c: c.isNotNull())
     supported = lambda c: F.coalesce(c["supported"], F.lit(False))
     name = lambda c: F.coalesce(c["field"], F.lit(""))
     none = F.lit(None).cast("string")
     of_claim = lambda c: F.array_compact(F.array(
-        F.when(c["evidence_quote"].isNull() & supported(c), F.concat(F.lit("Supported claim has no evidence quote: "), name(c))).otherwise(none),
-        F.when(c["evidence_quote"].isNotNull() & ~_holds(evidence, c["evidence_quote"]), F.concat(F.lit("Claim evidence quote not found in source: "), name(c))).otherwise(none),
-        F.when(c["evidence_quote"].isNotNull() & supported(c) & c["value"].isNull(), F.concat(F.lit("Supported claim has no value: "), name(c))).otherwise(none),
+        F.when(c["evidence_quote"].isNull() & supported(c), F.concat(F.lit(NO_QUOTE), name(c))).otherwise(none),
+        F.when(c["evidence_quote"].isNotNull() & ~_holds(evidence, c["evidence_quote"]), F.concat(F.lit(BAD_CLAIM_QUOTE), name(c))).otherwise(none),
+        F.when(c["evidence_quote"].isNotNull() & supported(c) & c["value"].isNull(), F.concat(F.lit(NO_VALUE), name(c))).otherwise(none),
     ))
     backed = F.transform(F.filter(claims, supported), name)
-    missing = [F.when(x[f].isNotNull() & ~F.array_contains(backed, f), f"Non-null field has no supported claim: {f}").otherwise(none) for f in FIELDS]
+    missing = [F.when(x[f].isNotNull() & ~F.array_contains(backed, f), NO_CLAIM + f).otherwise(none) for f in FIELDS]
     return F.concat(bad_quotes, F.flatten(F.transform(claims, of_claim)), F.array_compact(F.array(*missing)))
 
 

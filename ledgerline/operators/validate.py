@@ -10,12 +10,16 @@ from ledgerline.operators.relational import latest_by
 from ledgerline.schemas import EXPORT_FIELDS
 
 
+# Why a record is rejected.
+NO_ID, NO_AUTHORS, NO_TITLE = "missing arxiv_id", "no authors", "empty title"
+
+
 def reject_reason() -> Column:
     """Why a paper can't be exported, NULL if it can; the checks of the parsed paper come first."""
     return (
-        F.when(F.col("arxiv_id").isNull() | (strip_space(F.col("arxiv_id")) == ""), "missing arxiv_id")
-        .when(F.col("authors").isNull() | (F.size("authors") == 0), "no authors")
-        .when(F.col("title").isNull() | (strip_space(F.col("title")) == ""), "empty title")
+        F.when(F.col("arxiv_id").isNull() | (strip_space(F.col("arxiv_id")) == ""), NO_ID)
+        .when(F.col("authors").isNull() | (F.size("authors") == 0), NO_AUTHORS)
+        .when(F.col("title").isNull() | (strip_space(F.col("title")) == ""), NO_TITLE)
     )
 
 

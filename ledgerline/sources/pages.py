@@ -92,6 +92,7 @@ def link_candidates(found: DataFrame, host: str = "github.com", reserved: Sequen
     """Repository candidates of each page from anchors: canonical URL, locator, text; of a page's links to one repository the first."""
     known = found.withColumn("repo_url", F.explode(F.array(repo_url(F.col("href"), host, reserved=reserved)))).where(F.col("repo_url").isNotNull())
     one = first_of_each(known, ["page_id", "repo_url"], ["container_order", "container_no", "anchor_no"])
+    # Fixed form of a locator: <a> in {tag.classes}, text='{text}'.
     locator = F.concat(F.lit("<a> in "), F.col("container"), F.when(F.col("evidence_text").isNotNull(), F.concat(F.lit(", text='"), F.col("evidence_text"), F.lit("'"))).otherwise(""))
     return one.select(
         "page_id", "repo_url", F.lit("authoritative_paper_page").alias("evidence_type"), F.lit(1).alias("evidence_strength"), F.col("page_url").alias("evidence_source_url"),
