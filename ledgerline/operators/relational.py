@@ -13,10 +13,14 @@ def append(table: DataFrame, rows: DataFrame) -> DataFrame:
     return table.unionByName(rows, allowMissingColumns=True)
 
 
+def absent(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
+    """Those of rows whose key table lacks; of rows with one key, one. Rows with a NULL in the key are left out, as a key can't be NULL."""
+    return rows.dropna(subset=list(key)).dropDuplicates(list(key)).join(table.select(*key), list(key), "left_anti").select(*rows.columns)
+
+
 def put_if_absent(table: DataFrame, rows: DataFrame, key: Sequence[str]) -> DataFrame:
-    """table and those of rows whose key it lacks; of rows with one key, one. Rows with a NULL in the key are left out, as a key can't be NULL."""
-    new = rows.dropna(subset=list(key)).dropDuplicates(list(key)).join(table.select(*key), list(key), "left_anti")
-    return append(table, new.select(*rows.columns))
+    """table and the rows that are absent from it."""
+    return append(table, absent(table, rows, key))
 
 
 def upsert_seen(table: DataFrame, seen: DataFrame, key: str, first: str, last: str) -> DataFrame:

@@ -375,7 +375,8 @@ def log_events(spark: SparkSession, d: str) -> DataFrame:
     return logged.select(F.col("record_id").alias("id"), "status", "detail")
 
 
-@query("""SELECT DISTINCT id, CASE WHEN id IS NULL THEN 'id: missing' WHEN repo_url IS NULL THEN 'repo_url: missing' WHEN api_status NOT IN ('OK', 'NOT_FOUND', 'RATE_LIMITED', 'ERROR') THEN 'api_status: not in its domain'
+@query("""SELECT DISTINCT id, CASE WHEN id IS NULL THEN 'id: missing' WHEN repo_url IS NULL THEN 'repo_url: missing' WHEN exists_verified IS NULL THEN 'exists_verified: missing'
+WHEN stars_fetched_at IS NULL THEN 'stars_fetched_at: missing' WHEN api_status IS NULL THEN 'api_status: missing' WHEN api_status NOT IN ('OK', 'NOT_FOUND', 'RATE_LIMITED', 'ERROR') THEN 'api_status: not in its domain'
 WHEN stargazers_count < 0 THEN 'stargazers_count: negative' END AS violation FROM github_repo_snapshots""")
 def row_checks(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "github_repo_snapshots").select("id", violation("github_repo_snapshots").alias("violation")).distinct()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerline.operators import relational
@@ -9,10 +11,11 @@ from ledgerline.schemas import TABLES, schema
 
 
 class SnapshotStore:
-    """Tables as <root>/<table>/v=<n> folders and a pointer file with the current n; for one writing job at a time.
+    """Tables as folders <root>/<table>/v=<n> and lists current-<n> of the folders that make up version n; for one writing job at a time.
 
-    A change writes a whole new version beside the old one and then moves the pointer, so a path that is being read is never overwritten and
-    a job that dies leaves the old version current. Files go through Hadoop's file system, so root may be any shared folder.
+    A change writes a new folder and then its list, so a path that is being read is never overwritten and a job that dies leaves the
+    old version current. Appending and inserting write the new rows only, however large the table is; compact joins what has become
+    many folders. Files go through Hadoop's file system, so root may be any shared folder.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -26,26 +29,33 @@ class SnapshotStore:
 
     def version(self, table: str) -> int:
         """The current version, 0 if the table was never written."""
-        files, versions = self._files(), []
-        pattern = self._path(f"{self.root}/{table}/current-*")
-        for s in files.globStatus(pattern) or []:
-            versions.append(int(s.getPath().getName().rpartition("-")[2]))
-        return max(versions, default=0)
+        found = self._files().globStatus(self._path(f"{self.root}/{table}/current-*")) or []
+        return max((int(s.getPath().getName().rpartition("-")[2]) for s in found), default=0)
+
+    def _folders(self, table: str) -> list[int]:
+        """The folders of the current version."""
+        n = self.version(table)
+        return json.loads(self.spark.read.text(f"{self.root}/{table}/current-{n}", wholetext=True).first()[0]) if n else []
 
     def read(self, table: str) -> DataFrame:
         """The current version; an empty table of the right schema if it was never written."""
-        n = self.version(table)
-        if not n:
+        folders = self._folders(table)
+        if not folders:
             return self.spark.createDataFrame([], schema(table))
-        return self.spark.read.schema(schema(table)).parquet(f"{self.root}/{table}/v={n}")
+        return self.spark.read.schema(schema(table)).parquet(*(f"{self.root}/{table}/v={n}" for n in folders))
 
-    def publish(self, table: str, df: DataFrame) -> int:
-        """df becomes the table; returns its version."""
+    def _write(self, table: str, rows: DataFrame, before: list[int]) -> int:
         n = self.version(table) + 1
-        df.select(*schema(table).fieldNames()).write.mode("overwrite").parquet(f"{self.root}/{table}/v={n}")
-        self._files().create(self._path(f"{self.root}/{table}/current-{n}"), True).close()
+        rows.select(*schema(table).fieldNames()).write.mode("overwrite").parquet(f"{self.root}/{table}/v={n}")
+        out = self._files().create(self._path(f"{self.root}/{table}/current-{n}"), True)
+        out.writeBytes(json.dumps([*before, n]))
+        out.close()
         return n
 
+    def publish(self, table: str, df: DataFrame) -> int:
+        """df becomes the table; returns its version."""
+        return self._write(table, df, [])
+
     def migrate(self) -> None:
         """Writes an empty version of each table that has none; running it again changes nothing."""
         for table in TABLES:
@@ -53,10 +63,18 @@ class SnapshotStore:
                 self.publish(table, self.spark.createDataFrame([], schema(table)))
 
     def append(self, table: str, rows: DataFrame) -> int:
-        return self.publish(table, relational.append(self.read(table), rows))
+        """Adds rows; columns they lack are NULL."""
+        empty = self.spark.createDataFrame([], schema(table))
+        return self._write(table, relational.append(empty, rows), self._folders(table))
 
     def put_if_absent(self, table: str, rows: DataFrame, key: list[str]) -> int:
-        return self.publish(table, relational.put_if_absent(self.read(table), rows, key))
+        """Adds the rows whose key the table lacks."""
+        return self.append(table, relational.absent(self.read(table), rows, key))
 
     def replace(self, table: str, rows: DataFrame, key: list[str], order: str) -> int:
+        """Puts rows in place of those with the same key; writes the table anew."""
         return self.publish(table, relational.last_writer_wins(self.read(table), rows, key, order))
+
+    def compact(self, table: str) -> int:
+        """The same rows in one folder."""
+        return self.publish(table, self.read(table))

@@ -292,3 +292,7 @@ def test_store_and_incremental_ingest(spark, tmp_path):
     stream = spark.readStream.schema(TABLES["fetch_observations"]).parquet(str(tmp_path / "in"))
     ingest_stream(store, stream, str(tmp_path / "checkpoint")).awaitTermination()
     assert store.read("papers").count() == 3
+    assert len(store._folders("papers")) > 2
+    before = sorted(map(tuple, store.read("paper_fetch_observations").collect()))
+    store.compact("paper_fetch_observations")
+    assert len(store._folders("paper_fetch_observations")) == 1 and sorted(map(tuple, store.read("paper_fetch_observations").collect())) == before
