@@ -116,8 +116,12 @@ def padded_grams(words: list[str], q: int = 2) -> set[str]:
 
 
 def _buckets(anchor: str, words: list[str], bands: int, seen: dict[str, int]) -> np.ndarray:
-    """Bucket keys of one view: the anchor and `_ROWS` minima for each band."""
-    x = np.array([seen.setdefault(g, 0) or seen.__setitem__(g, _h64(g)) or seen[g] for g in padded_grams(words)], np.uint64)
+    """Bucket keys of one view: the anchor and `_ROWS` minima for each band; seen keeps the hashes of q-grams."""
+    grams = padded_grams(words)
+    for g in grams:
+        if g not in seen:
+            seen[g] = _h64(g)
+    x = np.array([seen[g] for g in grams], np.uint64)
     mixed = x[:, None] * _A[: bands * _ROWS][None, :]
     mixed ^= mixed >> np.uint64(29)
     mixed *= _PRIME
