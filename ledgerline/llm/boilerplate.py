@@ -29,6 +29,8 @@ _CONTAINERS = frozenset(("div", "main", "article", "section", "nav", "aside", "h
 _CONTROLS = frozenset(("button", "input", "select", "textarea"))
 #: A text is a site's own if on this share of its pages, and on this many at least.
 SHARE, LEAST = 0.03, 3
+#: Within the article's own element a line must be on this share of the site's pages to count as the site's: few articles share a sentence by chance.
+COMMON = 0.25
 #: Standard deviation of the smoothing, in lines.
 SIGMA = 1.0
 #: Tags whose text is compared with the site's repeated texts: not code, terms or table cells, whose short texts recur by nature.
@@ -144,8 +146,8 @@ def _threshold(x: np.ndarray) -> float:
     return (low + high) / 2
 
 
-def main_lines(page: dict, repeated: set[int], sigma: float = SIGMA) -> list[int]:
-    """Block numbers (from 1) of the main body of one page, given the texts its site repeats."""
+def main_lines(page: dict, repeated: set[int], common: set[int] | None = None, sigma: float = SIGMA) -> list[int]:
+    """Block numbers (from 1) of the main body of one page, given the texts its site repeats, and those it repeats on many pages (all, if not told)."""
     n = len(page["tag"])
     if n == 0:
         return []
@@ -165,6 +167,8 @@ def main_lines(page: dict, repeated: set[int], sigma: float = SIGMA) -> list[int
         home = int(box[heads[0]])
     elif not mass[home]:
         return []
+    if home and common is not None:
+        own &= (box != home) | np.array(page["control"]) | np.array([h in common for h in page["text"]])
     # It starts at the title, or else at the first content line, and goes on over the short lines between and after content lines.
     first = heads[0] if heads else int(np.flatnonzero(content & (box == home))[0])
     keep = (chars > 0) & ~own & (np.arange(n) >= first)
@@ -248,18 +252,18 @@ def main_content(df: DataFrame, record_id: str, url: str, html: str, share: floa
         .join(total, "site")
         .where(F.col("n") >= share * F.col("n_pages"))
         .groupBy("site")
-        .agg(F.collect_list("text").alias("repeated"))
+        .agg(F.collect_list("text").alias("repeated"), F.collect_list(F.when(F.col("n") >= COMMON * F.col("n_pages"), F.col("text"))).alias("common"))
     )
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, set[int]] = {}
+        known: dict[str, tuple[set[int], set[int]]] = {}
         for pdf in batches:
             ids, numbers = [], []
             for row in pdf.to_dict("records"):
                 site = row["site"]
                 if site not in known:
-                    known[site] = set(row["repeated"]) if row["repeated"] is not None else set()
-                found = main_lines(row, known[site])
+                    known[site] = (set(row["repeated"]), set(row["common"])) if row["repeated"] is not None else (set(), set())
+                found = main_lines(row, *known[site])
                 ids += [row["id"]] * len(found)
                 numbers += found
             yield pd.DataFrame({"id": ids, "block_no": numbers})
