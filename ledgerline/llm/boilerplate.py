@@ -3,8 +3,8 @@
 Each page is read once by the standard library's streaming parser into lines, one a block. A line's text-to-tag ratio is smoothed over
 its neighbours; two-means clustering of the smoothed ratios sets the threshold above which lines are content. Text that a site repeats
 on many of its pages counts as no text, so that long legal notes don't pass for content; which text that is, is counted over all pages
-of each site. The content's region is then checked exactly at its edges: it starts at the title heading, stays in the element
-that holds it, and leaves out insets, repeated lines and the sections below repeated headings.
+of each site. The region is the lowest element that holds the content's text and the title heading. It is then checked exactly at its edges:
+it starts at the title heading, and leaves out insets, repeated lines and the sections below repeated headings.
 """
 
 from __future__ import annotations
@@ -158,27 +158,33 @@ def main_lines(page: dict, repeated: set[int], common: set[int] | None = None, s
     ratio = np.where(own, 0.0, np.maximum(chars - links, 0.0) / np.maximum(tags, 1.0))
     smoothed = _smooth(ratio, sigma)
     content = smoothed >= _threshold(smoothed)
-    # The region is that of the content cluster: the element with the most text in content lines. The exact check is the page's title: the
-    # heading that repeats it stands in the article, so its element is the region's where both differ.
+    # The region is the lowest element that holds both the content cluster's text and the title. Text before the title or below a heading
+    # that the site repeats doesn't choose it, unless there is no other.
     mass = np.bincount(box, np.where(content & ~own, chars, 0.0), minlength=len(parents))
-    home = int(mass.argmax())
     heads = [k for k in range(n) if tag[k] in _HEADINGS and page["title"][k]] or [k for k in range(n) if tag[k] == 0 and not own[k]]
-    if heads:
-        home = int(box[heads[0]])
-    elif not mass[home]:
+    first = heads[0] if heads else 0
+    free = content & ~own & (np.arange(n) >= first) & ~_headed(own, tag, box, parents)
+    weight = np.bincount(box, np.where(free, chars, 0.0), minlength=len(parents))
+    peak = int((weight if weight.any() else mass).argmax())
+    if not heads and not mass[peak]:
         return []
+    around = _ancestors(int(box[first]), parents) if heads else [peak]
+    home = next(b for b in _ancestors(peak, parents) if b in around)
+    if not home and not weight.any():
+        home = peak = around[0]
+    # The elements on the way from the region to the cluster's text and to the title belong to it.
+    way = {home} | {b for line in (_ancestors(peak, parents), around) for b in line[: line.index(home)]}
     if home and common is not None:
         own &= (box != home) | np.array(page["control"]) | np.array([h in common for h in page["text"]])
     # It starts at the title, or else at the first content line, and goes on over the short lines between and after content lines.
-    first = heads[0] if heads else int(np.flatnonzero(content & (box == home))[0])
+    first = first if heads else int(np.flatnonzero(content & (box == home))[0])
     keep = (chars > 0) & ~own & (np.arange(n) >= first)
-    if home:
-        keep &= _within(home, parents)[box]
-        for inset in {int(b) for b in box[keep]} - {home}:  # an element within is left out unless the cluster has as much text in it
-            if mass[inset] <= mass[home] / 2:
-                keep &= box != inset
-    else:
-        keep &= box == 0
+    # Page furniture stands beside an article without an element of its own, so only the way belongs to that.
+    keep &= np.isin(box, list(way)) | (_within(home or peak, parents)[box] if home or peak else False)
+    for inset in {int(b) for b in box[keep]} - way:  # an element within is left out unless the cluster has as much text in it
+        if mass[inset] <= mass[home or peak] / 2:
+            keep &= box != inset
+    if not home:
         keep &= ~((tag == _TD) & np.array([h in repeated for h in page["text"]]))
     # Sections below repeated headings, to the next heading that isn't; below other repeated labels, the lists and tables that follow.
     under = 0
@@ -213,6 +219,26 @@ def _labels(k: int, tag: np.ndarray, chars: np.ndarray, links: np.ndarray) -> bo
     return bool((links[run] >= 0.9 * chars[run]).all()) if end > k + 1 else end < len(tag) and tag[end] == _TD
 
 
+def _ancestors(b: int, parents: list[int]) -> list[int]:
+    """An element and those around it, from the inside, down to the page (0)."""
+    out = [b]
+    while parents[out[-1]] >= 0:
+        out.append(parents[out[-1]])
+    return out
+
+
+def _headed(own: np.ndarray, tag: np.ndarray, box: np.ndarray, parents: list[int]) -> np.ndarray:
+    """Which lines stand below a heading that is the site's, to the next heading or the end of its element."""
+    out, inside = np.zeros(len(tag), bool), None
+    for k in range(len(tag)):
+        if tag[k] in _HEADINGS:
+            inside = _within(int(box[k]), parents) if own[k] else None
+        elif inside is not None and not inside[box[k]]:
+            inside = None
+        out[k] = inside is not None
+    return out
+
+
 def _within(home: int, parents: list[int]) -> np.ndarray:
     inside = np.zeros(len(parents), bool)
     for k in range(len(parents)):  # parents come before their children
