@@ -115,10 +115,10 @@ def read_lines(html: str) -> dict[str, list]:
     p.feed(html)
     p.close()
     title = " ".join("".join(p.title).split())
-    out: dict[str, list] = {k: [] for k in ("tag", "box", "chars", "links", "tags", "control", "title", "closed", "text")}
+    out: dict[str, list] = {k: [] for k in ("tag", "box", "chars", "links", "tags", "control", "title", "closed", "address", "text")}
     for tag, box, parts, links, tags, control in p.lines:
         text = " ".join("".join(parts).split())
-        for key, value in zip(out, (tag, box, len(text), min(links, len(text)), tags, control > 0, bool(text) and title.startswith(text), text[-1:] in ".!?:;…", text_key(text) if text else 0)):
+        for key, value in zip(out, (tag, box, len(text), min(links, len(text)), tags, control > 0, bool(text) and title.startswith(text), text[-1:] in ".!?:;…", "://" in text, text_key(text) if text else 0)):
             out[key].append(value)
     out["parents"] = [p.parents[k] for k in range(len(p.parents))]
     return out
@@ -174,8 +174,11 @@ def main_lines(page: dict, repeated: set[int], common: set[int] | None = None, s
         home = peak = around[0]
     # The elements on the way from the region to the cluster's text and to the title belong to it.
     way = {home} | {b for line in (_ancestors(peak, parents), around) for b in line[: line.index(home)]}
-    if home and common is not None:
-        own &= (box != home) | np.array(page["control"]) | np.array([h in common for h in page["text"]])
+    # The relief for lines of the article's own element. Without one it takes that the page keeps its furniture in elements; on pages without
+    # any, nothing tells a notice between the article's blocks from these but that an article names its sources by their addresses.
+    if common is not None:
+        spared = (box == home) & (np.arange(n) >= first) & (bool(home) or len(parents) > 1 or np.array(page["address"]))
+        own &= ~spared | np.array(page["control"]) | np.array([h in common for h in page["text"]])
     # It starts at the title, or else at the first content line, and goes on over the short lines between and after content lines.
     first = first if heads else int(np.flatnonzero(content & (box == home))[0])
     keep = (chars > 0) & ~own & (np.arange(n) >= first)
@@ -246,7 +249,7 @@ def _within(home: int, parents: list[int]) -> np.ndarray:
     return inside
 
 
-_PAGE_SCHEMA = "id string, site string, url bigint, tag array<tinyint>, box array<smallint>, chars array<int>, links array<int>, tags array<smallint>, control array<boolean>, title array<boolean>, closed array<boolean>, text array<bigint>, parents array<smallint>"
+_PAGE_SCHEMA = "id string, site string, url bigint, tag array<tinyint>, box array<smallint>, chars array<int>, links array<int>, tags array<smallint>, control array<boolean>, title array<boolean>, closed array<boolean>, address array<boolean>, text array<bigint>, parents array<smallint>"
 
 
 def _site(url: str | None) -> str:

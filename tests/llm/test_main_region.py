@@ -31,3 +31,30 @@ def test_longer_comments_do_not_move_the_region():
     body = "<div><h1>On a subject</h1><p>Ann Lee</p><p>A short text of the article is here.</p></div>"
     comments = f"<div><h3>Reader comments</h3>{''.join(f'<p>{prose(k)}</p>' for k in range(4))}</div>"
     assert main_lines(wrap(body + comments), {text_key("Reader comments")}, set()) == [3, 4, 5]
+
+
+CODE = "Code: https://forge.example/a/kit"
+
+
+def test_a_shared_source_line_stays_without_an_own_element():
+    """A line on 3 % of a site's pages, but not on 25 %, after a title at page level."""
+    body = f"<h1>On a subject</h1>{''.join(f'<p>{prose(k)}</p>' for k in range(3))}<p>{CODE}</p>"
+    foot = text_key("All marks belong to their owners.")
+    assert main_lines(wrap(body), {foot, text_key(CODE)}, {foot}) == [3, 4, 5, 6, 7]
+    assert main_lines(read_lines(f"<title>On a subject</title>{body}<p>All marks belong to their owners."), {foot, text_key(CODE)}, {foot}) == [1, 2, 3, 4, 5]
+    # On most pages it is the site's; and a notice between the blocks of a page without elements is too.
+    assert main_lines(wrap(body), {foot, text_key(CODE)}, {foot, text_key(CODE)}) == [3, 4, 5, 6]
+    notice = body.replace(CODE, "We use cookies.")
+    assert main_lines(read_lines(f"<title>On a subject</title>{notice}"), {text_key("We use cookies.")}, set()) == [1, 2, 3, 4]
+
+
+def test_the_relief_over_a_site(spark):
+    def html(k):
+        name = "".join("abcdefghij"[int(c)] for c in str(k))
+        return f"<title>On {name}</title><h1>On {name}</h1>{''.join(f'<p>{name} {prose(n)}</p>' for n in range(3))}{f'<p>{CODE}</p>' if k < 5 else ''}<p>All marks belong to their owners."
+
+    from ledgerline.llm.boilerplate import main_content
+
+    df = spark.createDataFrame([(f"p{k}", f"https://flat.example/{k}", html(k)) for k in range(60)], "id string, u string, h string")
+    got = {(r.id, r.block_no) for r in main_content(df, "id", "u", "h").collect()}
+    assert got == {(f"p{k}", b) for k in range(60) for b in range(1, 6 if k < 5 else 5)}
