@@ -170,7 +170,7 @@ def main_lines(page: dict, repeated: set[int], common: set[int] | None = None, s
         return []
     around = _ancestors(int(box[first]), parents) if heads else [peak]
     home = next(b for b in _ancestors(peak, parents) if b in around)
-    if not home and not weight.any():
+    if not home and (not weight.any() or 2 * mass[peak] < mass.sum()):  # only the page holds both: the cluster must be mostly there
         home = peak = around[0]
     # The elements on the way from the region to the cluster's text and to the title belong to it.
     way = {home} | {b for line in (_ancestors(peak, parents), around) for b in line[: line.index(home)]}
@@ -189,12 +189,19 @@ def main_lines(page: dict, repeated: set[int], common: set[int] | None = None, s
             keep &= box != inset
     if not home:
         keep &= ~((tag == _TD) & np.array([h in repeated for h in page["text"]]))
-    # Sections below repeated headings, to the next heading that isn't; below other repeated labels, the lists and tables that follow.
+    # Sections below repeated headings, to the next heading that isn't or the end of its element; below other repeated labels, the lists and
+    # tables that follow. A section in the region that holds text of the content cluster is the article's, and its heading with it.
+    text = content & ~own & (links < 0.9 * chars)
+    below = _headed(own, tag, box, parents)
+    fixed = _fixed(keep, text, own, below, tag, box, chars, home)
     under = 0
     for k in range(n):
-        if own[k]:
-            under = 2 if tag[k] in _HEADINGS else max(under, 1) if tag[k] == _P and chars[k] and not page["closed"][k] and _labels(k, tag, chars, links) else under if under == 2 else 0
-        elif under == 2 and tag[k] in _HEADINGS or under == 1 and tag[k] not in (_LI, _TD):
+        if fixed[k]:
+            keep[k] |= tag[k] in _HEADINGS
+            under = 0
+        elif own[k]:
+            under = 2 if tag[k] in _HEADINGS else max(under if below[k] else 0, 1) if tag[k] == _P and chars[k] and not page["closed"][k] and _labels(k, tag, chars, links) else under if under == 2 and below[k] else 0
+        elif under == 2 and not below[k] or under == 1 and tag[k] not in (_LI, _TD):
             under = 0
         if under and tag[k] != 0:
             keep[k] = False
@@ -242,6 +249,25 @@ def _headed(own: np.ndarray, tag: np.ndarray, box: np.ndarray, parents: list[int
     return out
 
 
+def _fixed(keep: np.ndarray, text: np.ndarray, own: np.ndarray, below: np.ndarray, tag: np.ndarray, box: np.ndarray, chars: np.ndarray, home: int) -> np.ndarray:
+    """Lines of the article's sections below headings that the site repeats: those with text of the content cluster.
+
+    At page level the notes of readers may follow the article under such headings, so there they are the article's only if most of the text is theirs.
+    """
+    out = np.zeros(len(tag), bool)
+    if not home and chars[keep & text & below].sum() <= chars[keep & text & ~below].sum():
+        return out
+    first, inside = int(np.argmax(keep)), np.isin(box, np.unique(box[keep]))
+    for k in np.flatnonzero(below & (np.isin(tag, _HEADINGS)) & inside & (np.arange(len(tag)) > first)):
+        end = k + 1
+        while end < len(tag) and below[end] and tag[end] not in _HEADINGS:
+            end += 1
+        if (keep & text)[k:end].any():
+            out[k:end] = True
+            out[k + 1 : end] &= ~own[k + 1 : end]
+    return out
+
+
 def _within(home: int, parents: list[int]) -> np.ndarray:
     inside = np.zeros(len(parents), bool)
     for k in range(len(parents)):  # parents come before their children

@@ -58,3 +58,18 @@ def test_the_relief_over_a_site(spark):
     df = spark.createDataFrame([(f"p{k}", f"https://flat.example/{k}", html(k)) for k in range(60)], "id string, u string, h string")
     got = {(r.id, r.block_no) for r in main_content(df, "id", "u", "h").collect()}
     assert got == {(f"p{k}", b) for k in range(60) for b in range(1, 6 if k < 5 else 5)}
+
+
+def test_sections_below_fixed_heads_are_the_articles():
+    sections = "".join(f"<h2>{head}</h2><p>{prose(2 * k)}</p><p>{prose(2 * k + 1)}</p>" for k, head in enumerate(("Abstract", "Methods", "References")))
+    more = "<h3>You may also like</h3><ul><li><a href=/x>Another work of the site</a><li><a href=/y>A third work of the site</a></ul>"
+    fixed = {text_key(t) for t in ("Abstract", "Methods", "References", "You may also like", "All marks belong to their owners.")}
+    for body in (f"<article><h1>On a subject</h1><p>Ann Lee</p>{sections}{more}</article>", f"<h1>On a subject</h1><p>Ann Lee</p>{sections}{more}"):
+        # Blocks 1-2 are the menu, 3 the title, 4 the authors, 5-13 the sections, then a list of other works.
+        assert main_lines(wrap(body), fixed, fixed) == list(range(3, 14)), body
+
+
+def test_a_section_ends_with_its_element():
+    aside = "<aside><h3>You may also like</h3><p><a href=/x>Another work of the site</a></p></aside>"
+    body = f"<article><h1>On a subject</h1><p>{prose(0)}</p>{aside}<p>{prose(1)}</p><p>{prose(2)}</p></article>"
+    assert main_lines(wrap(body), {text_key("You may also like")}, {text_key("You may also like")}) == [3, 4, 7, 8]
