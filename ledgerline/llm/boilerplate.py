@@ -169,7 +169,8 @@ def main_lines(page: dict, repeated: set[int], common: set[int] | None = None, s
     if not heads and not mass[peak]:
         return []
     around = _ancestors(int(box[first]), parents) if heads else [peak]
-    home = next(b for b in _ancestors(peak, parents) if b in around)
+    outer = set(around)
+    home = next(b for b in _ancestors(peak, parents) if b in outer)
     if not home and (not weight.any() or 2 * mass[peak] < mass.sum()):  # only the page holds both: the cluster must be mostly there
         home = peak = around[0]
     # The elements on the way from the region to the cluster's text and to the title belong to it.
@@ -239,10 +240,13 @@ def _ancestors(b: int, parents: list[int]) -> list[int]:
 
 def _headed(own: np.ndarray, tag: np.ndarray, box: np.ndarray, parents: list[int]) -> np.ndarray:
     """Which lines stand below a heading that is the site's, to the next heading or the end of its element."""
-    out, inside = np.zeros(len(tag), bool), None
+    out, inside, known = np.zeros(len(tag), bool), None, {}
     for k in range(len(tag)):
         if tag[k] in _HEADINGS:
-            inside = _within(int(box[k]), parents) if own[k] else None
+            b = int(box[k])
+            if own[k] and b not in known:
+                known[b] = _within(b, parents)
+            inside = known[b] if own[k] else None
         elif inside is not None and not inside[box[k]]:
             inside = None
         out[k] = inside is not None
@@ -275,7 +279,7 @@ def _within(home: int, parents: list[int]) -> np.ndarray:
     return inside
 
 
-_PAGE_SCHEMA = "id string, site string, url bigint, tag array<tinyint>, box array<smallint>, chars array<int>, links array<int>, tags array<smallint>, control array<boolean>, title array<boolean>, closed array<boolean>, address array<boolean>, text array<bigint>, parents array<smallint>"
+_PAGE_SCHEMA = "id string, site string, url bigint, tag array<tinyint>, box array<int>, chars array<int>, links array<int>, tags array<int>, control array<boolean>, title array<boolean>, closed array<boolean>, address array<boolean>, text array<bigint>, parents array<int>"
 
 
 def _site(url: str | None) -> str:

@@ -73,3 +73,12 @@ def test_a_section_ends_with_its_element():
     aside = "<aside><h3>You may also like</h3><p><a href=/x>Another work of the site</a></p></aside>"
     body = f"<article><h1>On a subject</h1><p>{prose(0)}</p>{aside}<p>{prose(1)}</p><p>{prose(2)}</p></article>"
     assert main_lines(wrap(body), {text_key("You may also like")}, {text_key("You may also like")}) == [3, 4, 7, 8]
+
+
+def test_many_tags_and_many_elements(spark):
+    from ledgerline.llm.boilerplate import main_content
+
+    spans = f"<h1>On a subject</h1><p>{prose(0)}</p><pre>{'<span>x</span>' * 40000}</pre>"
+    boxes = f"{'<div></div>' * 40000}<div><h1>On a subject</h1><p>{prose(0)}</p></div>"
+    df = spark.createDataFrame([("a", "https://s.example/1", spans), ("b", "https://s.example/2", boxes)], "id string, u string, h string")
+    assert {(r.id, r.block_no) for r in main_content(df, "id", "u", "h").collect()} == {("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 2)}
