@@ -2,9 +2,10 @@
 
 Spellings that differ only in case, spacing, punctuation, order or titles are one form. A form's views are banded: the q-grams of
 the rest of a name beside one part that is spelt alike, and the q-grams of the family name beside an initial and its own first or last
-letters. So two forms meet if they differ by a slip in one part, or if one has an initial or a short form where the other has the
-whole given name, and a frequent family name alone makes no bucket. Candidates are verified by the Monge-Elkan similarity of their
-parts and by how often each part occurs; star clustering then gives each form to its best centre.
+letters. Beside an initial the family name less any one letter is a key too, as a slip inside a short name changes both ends. So two
+forms meet if they differ by a slip in one part, or if one has an initial or a short form where the other has the whole given name, and a
+frequent family name alone makes no bucket. Candidates are verified by the Monge-Elkan similarity of their parts and by how often
+each part occurs; star clustering then gives each form to its best centre.
 """
 
 from __future__ import annotations
@@ -116,7 +117,9 @@ def padded_grams(words: list[str], q: int = 2) -> set[str]:
 
 
 def _buckets(anchor: str, words: list[str], bands: int, seen: dict[str, int]) -> np.ndarray:
-    """Bucket keys of one view: the anchor and `_ROWS` minima for each band; seen keeps the hashes of q-grams."""
+    """Bucket keys of one view: the anchor and `_ROWS` minima for each band, or the anchor alone without words; seen keeps the hashes of q-grams."""
+    if not words:
+        return np.array([_h64(anchor)], np.uint64).view(np.int64)
     grams = padded_grams(words)
     for g in grams:
         if g not in seen:
@@ -144,9 +147,16 @@ def _views(form: str, family: str, expansions: list[str] | None) -> tuple[bool,
         firsts = {w[0] for w in words if w != home} or set(initials[:1])
         for i in sorted(firsts | {fold(e)[0] for e in expansions or [] if e}):
             views += [(f"P{i}{home[:3]}", [home], FAMILY_BANDS), (f"S{i}{home[-4:]}", [home], FAMILY_BANDS)]
+            # A slip inside a short family name changes both ends; less one letter, names with any one slip between them are alike.
+            views += [(f"D{i}{w}", [], 1) for w in sorted(_less_one(home))]
     return asks, views
 
 
+def _less_one(word: str) -> set[str]:
+    """A word, and the word with each one letter left out: two words that `slips` puts at 2 or less share one of these."""
+    return {word} | {word[:k] + word[k + 1 :] for k in range(len(word))}
+
+
 def slips(a: str, b: str) -> int:
     """Typing slips between two words: 0; 1 (a letter left out or added, two swapped, a neighbouring key); 2 for another letter in one's place; 3 for more."""
     if a == b:
