@@ -94,6 +94,14 @@ class JsonIndex:
         self.depth = run - before[self.doc] - self.opens if len(run) else run
         self.parent = _enclosing(self.position, self.depth, self.doc, self.opens)
         self.quotes = quotes
+        # Openings and closings of one level alternate.
+        brackets = np.flatnonzero(self.opens | closes)
+        brackets = brackets[np.lexsort((brackets, self.depth[brackets], self.doc[brackets]))]
+        self.closing = np.full(len(self.position), -1)
+        at = np.flatnonzero(self.opens[brackets][:-1] & ~self.opens[brackets][1:])
+        self.closing[brackets[at]] = self.position[brackets[at + 1]]
+        self._by_parent = np.argsort(self.parent, kind="stable")
+        self._parents = self.parent[self._by_parent]
         # A value ends at the next comma or closing of the level it lies in.
         ends = np.flatnonzero((self.char == 0x2C) | closes)
         level = self.depth[ends] + closes[ends]
@@ -107,6 +115,11 @@ class JsonIndex:
         self.end[merged[order[ok]]] = self.position[merged[order[upcoming[ok]]]]
         self.colons = colons[self.end[colons] >= 0] if len(colons) else colons
 
+    def within(self, token: int) -> np.ndarray:
+        """The tokens that lie directly in a container, in text order."""
+        a, z = np.searchsorted(self._parents, (token, token + 1))
+        return self._by_parent[a:z]
+
     def keys(self, wanted: dict[bytes, str]) -> list[tuple[int, str, int, int, int, int]]:
         """(text, name, depth, parent token, value start, value end) of members whose key is wanted, in text order."""
         q = np.searchsorted(self.quotes, self.position[self.colons])
@@ -133,14 +146,13 @@ def _loads(text: str | bytes):
 
 def _readable(text: str) -> bytes | None:
     """The exact check of a JSON text; a text that is itself a JSON string is unwrapped."""
-    for _ in range(4):
+    while True:  # each layer is shorter than the one around it
         ok, value = _loads(text)
         if not ok:
             return None
         if not isinstance(value, str):
             return text.encode("utf-8", "surrogatepass") if isinstance(value, (dict, list)) else None
         text = value
-    return None
 
 
 def _value_text(v) -> str | None:
@@ -189,26 +201,28 @@ class _Extractions:
             c = index.raw[s : s + 1]
             return ("object", token_at(s)) if c == b"{" else ("array", token_at(s)) if c == b"[" else ("string", s) if c == b'"' else None
 
-        def follow(doc: int, node: str, place: tuple, span: tuple[int, int] | None, stage: str) -> None:
-            """Goes on at a value: stage names what is expected there."""
-            record = items[doc][0]
-            what = inner(span)
-            if what is None:
-                return
-            if what[0] == "string":
-                ok, text = _loads(index.raw[span[0] : span[1]])
-                if ok and isinstance(text, str) and (raw := _readable(text)) is not None:
-                    later.append((record, node, raw, (stage, place)))
-                return
-            if what[0] == "array" and stage != "claims":
-                return
-            self._enter(index, members, doc, record, node, place, what[1], stage, follow, claims)
+        # Values to go on at; stage names what is expected there. A stack of their own, as texts may nest deeper than calls can; claims are sorted later.
+        pending: list[tuple[int, str, tuple, tuple[int, int] | None, str]] = []
+
+        def follow(*value) -> None:
+            pending.append(value)
 
         for doc, (_, node, raw, stage) in enumerate(items):
             place = ()
             if stage != "root":
                 stage, place = stage
             follow(doc, node, place, (int(index.starts[doc]), int(index.starts[doc + 1]) - 1), stage)
+        while pending:
+            doc, node, place, span, stage = pending.pop()
+            record, what = items[doc][0], inner(span)
+            if what is None:
+                continue
+            if what[0] == "string":
+                ok, text = _loads(index.raw[span[0] : span[1]])
+                if ok and isinstance(text, str) and (raw := _readable(text)) is not None:
+                    later.append((record, node, raw, (stage, place)))
+            elif what[0] == "object" or stage == "claims":
+                self._enter(index, members, doc, record, node, place, what[1], stage, follow, claims)
 
     def _enter(self, index, members, doc, record, node, place, token, stage, follow: Callable, claims: list) -> None:
         if stage == "root":
@@ -224,29 +238,18 @@ class _Extractions:
         else:
             start = int(index.position[token])
             if index.char[token] == 0x7B:
-                value = json.loads(index.raw[start : self._close(index, token) + 1])
+                value = json.loads(index.raw[start : int(index.closing[token]) + 1])
                 if any(k in value for k in CLAIM_KEYS) or not any(isinstance(v, (dict, list)) for v in value.values()):
                     claims.append((record, node, (*place, start), value))
                     return
             # Children of an array or wrapper: containers by token, and strings that may hold JSON.
-            end, depth = self._close(index, token), index.depth[token] + 1
-            t = token + 1
             piece = start + 1
-            while t < len(index.position) and index.position[t] <= end:
-                if (index.depth[t] == depth and index.char[t] == 0x2C) or index.position[t] == end:
+            for t in index.within(token):
+                if index.char[t] == 0x2C:
                     follow(doc, node, (*place, piece), (piece, int(index.position[t])), "claims")
+                if index.char[t] in (0x2C, 0x3A):
                     piece = int(index.position[t]) + 1
-                elif index.depth[t] == depth and index.char[t] == 0x3A:
-                    piece = int(index.position[t]) + 1
-                t += 1
-
-    @staticmethod
-    def _close(index: JsonIndex, token: int) -> int:
-        """The place of the closing that belongs to an opening."""
-        t = token + 1
-        while index.depth[t] != index.depth[token] or index.opens[t] or index.char[t] not in (0x7D, 0x5D):
-            t += 1
-        return int(index.position[t])
+            follow(doc, node, (*place, piece), (piece, int(index.closing[token])), "claims")
 
 
 _SKIPPED = re.compile(rb"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>", re.S)
