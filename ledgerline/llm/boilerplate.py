@@ -1,10 +1,11 @@
 """Main content of web pages: parser events, text-to-tag ratios, Gaussian smoothing and threshold clustering.
 
-Each page is read once by the standard library's streaming parser into lines, one a block. A line's text-to-tag ratio is smoothed over
-its neighbours; two-means clustering of the smoothed ratios sets the threshold above which lines are content. Text that a site repeats
-on many of its pages counts as no text, so that long legal notes don't pass for content; which text that is, is counted over all pages
-of each site. The region is the lowest element that holds the content's text and the title heading. It is then checked exactly at its edges:
-it starts at the title heading, and leaves out insets, repeated lines and the sections below repeated headings.
+Each page is read once by the standard library's streaming parser into lines, one a block. The logarithm of a line's text-to-tag ratio is
+smoothed over its neighbours; two-means clustering of the smoothed ratios sets the threshold above which lines are content. A region is the
+lines of one element from heading to heading; it is selected if enough of its text stands in content lines, and no block outside the
+selected regions comes out. Text that a site repeats on many of its pages counts as no text, so that long legal notes don't pass for
+content; which text that is, is counted over all pages of each site. The selected regions are then checked exactly: of elements the
+lowest with the content's text and the title heading counts, from that heading on, without insets, repeated lines and sections below repeated headings.
 """
 
 from __future__ import annotations
@@ -26,13 +27,17 @@ from ledgerline.session import cut
 BLOCK_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "dt", "dd", "td", "pre", "blockquote", "figcaption")
 _NUMBER = {t: k for k, t in enumerate(BLOCK_TAGS)}
 _CONTAINERS = frozenset(("div", "main", "article", "section", "nav", "aside", "header", "footer", "form"))
+#: Tags that mark words within a text, as highlighted code has in numbers; they say nothing about the page's structure and aren't counted.
+_MARKS = frozenset(("span", "b", "i", "u", "s", "em", "strong", "code", "tt", "var", "kbd", "samp", "sub", "sup", "small", "big", "mark", "font", "q", "cite", "abbr", "dfn"))
 _CONTROLS = frozenset(("button", "input", "select", "textarea"))
-#: A text is a site's own if on this share of its pages, and on this many at least.
-SHARE, LEAST = 0.03, 3
+#: A text is a site's own if on this share of its other pages.
+SHARE = 0.03
 #: Within the article's own element a line must be on this share of the site's pages to count as the site's: few articles share a sentence by chance.
 COMMON = 0.25
-#: Standard deviation of the smoothing, in lines.
-SIGMA = 1.0
+#: Standard deviation of the smoothing, in lines, and the share of a region's text that content lines must hold.
+SIGMA, MOST = 1.0, 0.3
+#: Sites' repeated texts go to all tasks up to this many hashes (8 MB); beyond, pages and texts meet in a salted join.
+MOST_SHARED = 1 << 20
 #: Tags whose text is compared with the site's repeated texts: not code, terms or table cells, whose short texts recur by nature.
 _COMPARED = frozenset(_NUMBER[t] for t in ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "blockquote", "figcaption"))
 _HEADINGS = range(6)
@@ -66,7 +71,7 @@ class _Lines(HTMLParser):
         elif tag == "title":
             self.in_title = not self.lines
         elif self.lines:
-            self.lines[-1][4] += 1
+            self.lines[-1][4] += tag not in _MARKS
             if tag == "a":
                 self.link = True
             elif tag in _CONTROLS and (self.here is None or self.here is self.lines[-1]):
@@ -84,7 +89,7 @@ class _Lines(HTMLParser):
                     break
             self.here = None
         elif self.lines:
-            self.lines[-1][4] += 1
+            self.lines[-1][4] += tag not in _MARKS
             if tag == "a":
                 self.link = False
 
@@ -146,6 +151,27 @@ def _threshold(x: np.ndarray) -> float:
     return (low + high) / 2
 
 
+def content_lines(chars: np.ndarray, links: np.ndarray, tags: np.ndarray, own: np.ndarray, sigma: float = SIGMA, judged: np.ndarray | None = None) -> np.ndarray:
+    """The content cluster: lines whose smoothed log text-to-tag ratio is above the threshold, which all lines or those in `judged` set; lines that are the site's own have no text."""
+    smoothed = _smooth(np.log1p(np.where(own, 0.0, np.maximum(chars - links, 0.0) / np.maximum(tags, 1.0))), sigma)
+    return smoothed >= _threshold(smoothed if judged is None else smoothed[judged])
+
+
+def selected_regions(content: np.ndarray, chars: np.ndarray, tag: np.ndarray, box: np.ndarray, own: np.ndarray, title: int | None = None, most: float = MOST) -> np.ndarray:
+    """Lines of the regions that the content cluster selects: those with `most` of their text in it, and the title's (if told its line) where the next is one, as names may stand alone below a title. A region is the lines of one element from heading to heading; elements within and the site's own lines don't end it, but aren't of it."""
+    heads, region = np.isin(tag, _HEADINGS) & ~own, np.zeros(len(tag), int)
+    order = np.lexsort((np.arange(len(tag)), own, box))
+    cuts = heads[order]
+    cuts[1:] |= (box[order][1:] != box[order][:-1]) | (own[order][1:] != own[order][:-1])
+    region[order] = np.cumsum(cuts)
+    text, held = np.bincount(region, chars), np.bincount(region, np.where(content, chars, 0.0))
+    chosen = (held > 0) & (held >= most * text)
+    if title is not None:
+        after = np.flatnonzero((region == region[title] + 1) & (box == box[title]) & ~own)
+        chosen[region[title]] |= len(after) > 0 and chosen[region[title] + 1]
+    return chosen[region]
+
+
 def main_lines(page: dict, repeated: set[int], common: set[int] | None = None, sigma: float = SIGMA) -> list[int]:
     """Block numbers (from 1) of the main body of one page, given the texts its site repeats, and those it repeats on many pages (all, if not told)."""
     n = len(page["tag"])
@@ -155,10 +181,8 @@ def main_lines(page: dict, repeated: set[int], common: set[int] | None = None, s
     links, tags, parents = np.array(page["links"], float), np.array(page["tags"], float), page["parents"]
     again = np.array([t in _COMPARED and h in repeated for t, h in zip(tag, page["text"])])
     own = (again & ~np.array(page["title"])) | np.array(page["control"])
-    ratio = np.where(own, 0.0, np.maximum(chars - links, 0.0) / np.maximum(tags, 1.0))
-    smoothed = _smooth(ratio, sigma)
-    content = smoothed >= _threshold(smoothed)
-    # The region is the lowest element that holds both the content cluster's text and the title. Text before the title or below a heading
+    content = content_lines(chars, links, tags, own, sigma)
+    # The article's element is the lowest that holds both the content cluster's text and the title. Text before the title or below a heading
     # that the site repeats doesn't choose it, unless there is no other.
     mass = np.bincount(box, np.where(content & ~own, chars, 0.0), minlength=len(parents))
     heads = [k for k in range(n) if tag[k] in _HEADINGS and page["title"][k]] or [k for k in range(n) if tag[k] == 0 and not own[k]]
@@ -180,44 +204,31 @@ def main_lines(page: dict, repeated: set[int], common: set[int] | None = None, s
     if common is not None:
         spared = (box == home) & (np.arange(n) >= first) & (bool(home) or len(parents) > 1 or np.array(page["address"]))
         own &= ~spared | np.array(page["control"]) | np.array([h in common for h in page["text"]])
-    # It starts at the title, or else at the first content line, and goes on over the short lines between and after content lines.
-    first = first if heads else int(np.flatnonzero(content & (box == home))[0])
-    keep = (chars > 0) & ~own & (np.arange(n) >= first)
+        content = content_lines(chars, links, tags, own, sigma)
+    keep = selected_regions(content, chars, tag, box, own, first if heads else None) & (chars > 0) & ~own
+    beside = _headed(own, tag, box, parents)
+    if beside.any() and not beside.all() and not keep[np.isin(box, list(way))].any():  # longer text beside the article sets the threshold above it
+        content = content_lines(chars, links, tags, own, sigma, ~beside)
+        keep = selected_regions(content, chars, tag, box, own, first if heads else None) & (chars > 0) & ~own
     # Page furniture stands beside an article without an element of its own, so only the way belongs to that.
     keep &= np.isin(box, list(way)) | (_within(home or peak, parents)[box] if home or peak else False)
-    for inset in {int(b) for b in box[keep]} - way:  # an element within is left out unless the cluster has as much text in it
-        if mass[inset] <= mass[home or peak] / 2:
-            keep &= box != inset
     if not home:
         keep &= ~((tag == _TD) & np.array([h in repeated for h in page["text"]]))
     # Sections below repeated headings, to the next heading that isn't or the end of its element; below other repeated labels, the lists and
     # tables that follow. A section in the region that holds text of the content cluster is the article's, and its heading with it.
     text = content & ~own & (links < 0.9 * chars)
-    below = _headed(own, tag, box, parents)
-    fixed = _fixed(keep, text, own, below, tag, box, chars, home)
+    fixed = _fixed(keep, text, own, beside, tag, box, chars, home)
     under = 0
     for k in range(n):
         if fixed[k]:
             keep[k] |= tag[k] in _HEADINGS
             under = 0
         elif own[k]:
-            under = 2 if tag[k] in _HEADINGS else max(under if below[k] else 0, 1) if tag[k] == _P and chars[k] and not page["closed"][k] and _labels(k, tag, chars, links) else under if under == 2 and below[k] else 0
-        elif under == 2 and not below[k] or under == 1 and tag[k] not in (_LI, _TD):
+            under = 2 if tag[k] in _HEADINGS else max(under if beside[k] else 0, 1) if tag[k] == _P and chars[k] and not page["closed"][k] and _labels(k, tag, chars, links) else under if under == 2 and beside[k] else 0
+        elif under == 2 and not beside[k] or under == 1 and tag[k] not in (_LI, _TD):
             under = 0
         if under and tag[k] != 0:
             keep[k] = False
-    # Past the last line of content, lists of nothing but short links are menus.
-    last = np.flatnonzero(content & keep)
-    if len(last) and not home:
-        k = int(last[-1]) + 1
-        while k < n:
-            end = k
-            while end < n and tag[end] == _LI:
-                end += 1
-            run = slice(k, end)
-            if end > k and chars[run].mean() < 20 and (links[run] >= 0.9 * chars[run]).all():
-                keep[run] = False
-            k = end + 1
     return (np.flatnonzero(keep) + 1).tolist()
 
 
@@ -287,12 +298,13 @@ def _site(url: str | None) -> str:
     return m.group(1).lower() if m else ""
 
 
-def main_content(df: DataFrame, record_id: str, url: str, html: str, share: float = SHARE, least: int = LEAST) -> DataFrame:
+def main_content(df: DataFrame, record_id: str, url: str, html: str, share: float = SHARE, most_shared: int = MOST_SHARED) -> DataFrame:
     """(id, block_no): one row for each block of the main body of each page.
 
     Pages are parsed once, into compact lines that are written to the shared folder. Texts are counted over all pages of each site (a
-    site is a URL's host; a URL fetched again and again counts once); a site's repeated texts number at most (blocks a page) / share, and
-    are looked up with hot sites spread over tasks. NULL ids and pages give nothing, as do pages without blocks; rows written twice (same id)
+    site is a URL's host; a URL fetched again and again counts once); a site's repeated texts number at most (blocks a page) / share. They
+    are sent to all tasks while there are at most most_shared of them; else they are looked up with hot sites spread over tasks. Python gets of
+    them what stands on the page. NULL ids and pages give nothing, as do pages without blocks; rows written twice (same id)
     count once; pages without a URL are one site. Blocks without visible text are left out. Columns besides the three named are not read.
     """
 
@@ -303,28 +315,25 @@ def main_content(df: DataFrame, record_id: str, url: str, html: str, share: floa
 
     pages = df.select(F.col(record_id).cast("string").alias("id"), F.col(url).alias("url"), F.col(html).alias("html")).where(F.col("id").isNotNull() & F.col("html").isNotNull())
     lines = cut(pages.mapInPandas(parse, _PAGE_SCHEMA))
-    seen = lines.select("site", "url", F.explode(F.array_distinct("text")).alias("text")).distinct().groupBy("site", "text").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    # Text 0 stands for no text, which nearly every page has; the count of pages comes from the lines themselves.
+    seen = lines.select("site", "url", F.explode(F.array_distinct("text")).alias("text")).where(F.col("text") != 0).distinct().groupBy("site", "text").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
     total = lines.select("site", "url").distinct().groupBy("site").agg(F.count(F.lit(1)).alias("n_pages"))
-    repeated = (
-        seen.where(F.col("text") != 0)
-        .join(total, "site")
-        .where(F.col("n") >= share * F.col("n_pages"))
+    repeated = cut(
+        seen.join(total, "site")
+        .where(F.col("n") - 1 >= share * (F.col("n_pages") - 1))
         .groupBy("site")
         .agg(F.collect_list("text").alias("repeated"), F.collect_list(F.when(F.col("n") >= COMMON * F.col("n_pages"), F.col("text"))).alias("common"))
     )
+    few = (repeated.agg(F.sum(F.size("repeated"))).first()[0] or 0) <= most_shared
+    met = lines.join(F.broadcast(repeated), "site", "left") if few else salted_lookup(lines, repeated, "site", "id")
+    here = met.withColumns({c: F.coalesce(F.array_intersect("text", c), F.array().cast("array<bigint>")) for c in ("repeated", "common")}).drop("site", "url")
 
     def choose(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known: dict[str, tuple[set[int], set[int]]] = {}
         for pdf in batches:
             ids, numbers = [], []
             for row in pdf.to_dict("records"):
-                site = row["site"]
-                if site not in known:
-                    known[site] = (set(row["repeated"]), set(row["common"])) if row["repeated"] is not None else (set(), set())
-                found = main_lines(row, *known[site])
+                found = main_lines(row, set(row["repeated"].tolist()), set(row["common"].tolist()))
                 ids += [row["id"]] * len(found)
                 numbers += found
-            yield pd.DataFrame({"id": ids, "block_no": numbers})
+            yield pd.DataFrame({"id": pd.Series(ids, dtype=object), "block_no": pd.Series(numbers, dtype="int64")})
 
-    return salted_lookup(lines, repeated, "site", "id").mapInPandas(choose, "id string, block_no bigint").distinct()
+    return here.mapInPandas(choose, "id string, block_no bigint").distinct()

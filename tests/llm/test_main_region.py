@@ -1,5 +1,7 @@
 """The region of a page: which element, which repeated lines and which sections belong to the article."""
 
+import numpy as np
+
 from ledgerline.llm.boilerplate import main_lines, read_lines, text_key
 
 
@@ -78,7 +80,32 @@ def test_a_section_ends_with_its_element():
 def test_many_tags_and_many_elements(spark):
     from ledgerline.llm.boilerplate import main_content
 
-    spans = f"<h1>On a subject</h1><p>{prose(0)}</p><pre>{'<span>x</span>' * 40000}</pre>"
-    boxes = f"{'<div></div>' * 40000}<div><h1>On a subject</h1><p>{prose(0)}</p></div>"
-    df = spark.createDataFrame([("a", "https://s.example/1", spans), ("b", "https://s.example/2", boxes)], "id string, u string, h string")
+    spans = f"<h1>On a subject</h1><p>{prose(0)}</p><pre>{'<span>x</span>' * 50000}</pre>"
+    boxes = f"{'<div></div>' * 50000}<div><h1>On a subject</h1><p>{prose(0)}</p></div>"
+    df = spark.createDataFrame([("a", "https://s.example/1", spans), ("b", "https://t.example/2", boxes)], "id string, u string, h string")
     assert {(r.id, r.block_no) for r in main_content(df, "id", "u", "h").collect()} == {("a", 1), ("a", 2), ("a", 3), ("b", 1), ("b", 2)}
+
+
+def test_the_clusters_of_ratios_decide(spark, monkeypatch):
+    """Random numbers in place of smoothed ratios lose the article; without them it is whole."""
+    from ledgerline.llm import boilerplate
+
+    pages = []
+    for k in range(40):
+        sections = "".join(f"<h2>Part {'abcdefghij'[n]} of {k}</h2><p>{prose(n)}</p><p>{prose(n + 1)}</p>" for n in range(4))
+        pages.append(wrap(f"<main><h1>On a subject</h1><p>Ann Lee</p>{sections}</main>"))
+    marks = {text_key("All marks belong to their owners.")}
+    assert all(main_lines(p, marks, marks) == list(range(3, 17)) for p in pages)
+    rng = np.random.RandomState(1)
+    monkeypatch.setattr(boilerplate, "_smooth", lambda x, sigma: rng.rand(len(x)))
+    found = sum(len(set(main_lines(p, marks, marks)) & set(range(3, 17))) for p in pages)
+    assert found < 0.8 * 14 * len(pages)
+
+
+def test_text_repeated_on_few_sites_or_many_is_found_alike(spark):
+    """The shared and the salted way of meeting a site's texts give the same rows."""
+    from ledgerline.llm.boilerplate import main_content
+
+    rows = [(f"p{k}", f"https://s{k % 3}.example/{k}", f"<title>On {'abcdefghij'[k % 10] * k}</title>{MENU}<h1>On {'abcdefghij'[k % 10] * k}</h1><p>{prose(k)}</p><p>{prose(k + 1)} {k * 'x'}</p>{FOOT}") for k in range(1, 31)]
+    df = spark.createDataFrame(rows, "id string, u string, h string")
+    assert sorted(map(tuple, main_content(df, "id", "u", "h").collect())) == sorted(map(tuple, main_content(df, "id", "u", "h", most_shared=0).collect()))
