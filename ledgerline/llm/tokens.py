@@ -20,6 +20,14 @@ def canonical_source(c: Column) -> Column:
     return F.nullif(F.regexp_replace(F.regexp_replace(F.lower(c), r"^[\s_-]+|[\s_-]+$", ""), r"[\s_-]+", "_"), F.lit(""))
 
 
+def encoder(ranks: bytes):
+    """text -> token ids, from the bytes of a vocabulary file."""
+    import tiktoken
+
+    table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
+    return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+
+
 def token_counts(documents: DataFrame, doc_id: str, text: str, *keep: str, vocabulary: str = VOCABULARY) -> DataFrame:
     """(doc_id, kept columns, tokens, head_tokens) of each row: whole texts are encoded, NULL and empty ones have 0 tokens.
 
@@ -33,10 +41,7 @@ def token_counts(documents: DataFrame, doc_id: str, text: str, *keep: str, vocab
     names = kept.columns
 
     def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import tiktoken
-
-        table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.value.splitlines())}
-        encode = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+        encode = encoder(ranks.value)
         for pdf in batches:
             total, head = [], []
             for t in pdf["__text"]:

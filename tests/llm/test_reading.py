@@ -2,7 +2,8 @@ import random
 
 import numpy as np
 
-from ledgerline.llm.reading import BANDS, FEATURES, features, fit_model, fit_ordinal, rarity_table, reading_bands, sentences
+from ledgerline.llm.reading import BANDS, GROUPS, Words, features, fit_model, fit_ordinal, reading_bands, sentences
+from ledgerline.llm.tokens import VOCABULARY
 
 WORDS = {
     "plain": ("the dog sees a red ball", "we made this so that people can play", "my wonderful grandmother likes chocolate", "it is easy"),
@@ -31,14 +32,43 @@ def test_ordinal_fit_finds_the_order():
     assert np.isfinite(w).all() and np.isfinite(cuts).all()
 
 
+def words():
+    with open(VOCABULARY, "rb") as f:
+        return Words(f.read())
+
+
+def column(name, k=0):
+    return GROUPS.index(name) + k
+
+
 def test_features_are_finite():
-    table = rarity_table([sentences("a dog. A cat runs fast.")], [0.0])
-    for t in ("", "\n\n", "a", "1 2 3 4", "x" * 100_000, "The dog, which runs, sees that the cat sleeps."):
-        f = features(t, sentences(t), table)
-        assert len(f) == len(FEATURES) and np.isfinite(f).all()
-    assert features("", sentences(""), {}) == [0.0] * len(FEATURES)
-    a, b = (features(t, sentences(t), table) for t in ("the cat sleeps and runs here", "the cat, which sleeps because it runs, is here"))
-    assert b[FEATURES.index("clause_depth")] > a[FEATURES.index("clause_depth")]
+    texts = ["", "\n\n", "a", "1 2 3 4", "x" * 100_000, "The dog, which runs, sees that the cat sleeps.", "the cat sleeps and runs here", "the cat, which sleeps because it runs, is here"]
+    x = features(texts, words())
+    assert x.shape == (8, len(GROUPS)) and np.isfinite(x).all() and not x[[0, 1, 3]].any()
+    assert x[7, column("clauses", 1)] > x[6, column("clauses", 1)]
+    assert features([], words()).shape == (0, len(GROUPS))
+
+
+def test_features_hold_against_plain_counts():
+    """Features of texts measured together equal those of each measured alone, and plain counts."""
+    rng = random.Random(3)
+    texts = [text(rng, b, n) for b in BANDS for n in (1, 7, 60)] + ["", "one"]
+    x, w = features(texts, words()), words()
+    assert np.allclose(x, np.concatenate([features([t], w) for t in texts]))
+    for t, row in zip(texts, x):
+        flat = [v for s in sentences(t) for v in s]
+        if not flat:
+            continue
+        assert np.isclose(row[column("length")], np.mean([len(v) for v in flat])) and np.isclose(row[column("diversity", 1)], len(set(flat)) / len(flat))
+        stretches = [flat[k : k + 30] for k in range(0, len(flat), 30)]
+        assert np.isclose(row[column("diversity", 3)], np.mean([len(set(v)) / len(v) for v in stretches]))
+        assert np.isclose(row[3:12].sum(), 1) and np.isclose(row[12:24].sum(), 1)
+
+
+def test_rarity_needs_no_grades():
+    w = words()
+    bits = lambda v: w.values[w.ids([v])[0], 0]
+    assert bits("dog") < bits("celebration") < bits("renormalisation") and bits("the") < bits("cache")
 
 
 def test_held_out_accuracy(spark):
@@ -60,5 +90,13 @@ def test_held_out_accuracy(spark):
 
 
 def test_model_needs_few_kinds_of_grades():
-    table, weights, cuts = fit_model(["a b c d."], [[10**6, 0, 0]])
-    assert np.isfinite(weights).all() and len(cuts) == 2 and table
+    weights, intercept, cuts = fit_model(features(["a b c d."], words()), [[10**6, 0, 0]])
+    assert np.isfinite(weights).all() and np.isfinite(intercept) and len(cuts) == 2
+
+
+def test_repeated_rows_of_a_graded_document(spark):
+    rows = [(k, t) for k, (t, _) in enumerate(sample(4, 30))]
+    d = spark.createDataFrame(rows + [rows[0]] * 300, "doc_id long, text string")
+    lab = spark.createDataFrame([(k, b) for k, (_, b) in enumerate(sample(4, 30))], "doc_id long, band string")
+    got = reading_bands(d, lab).collect()
+    assert len(got) == 330 and len({(r.doc_id, r.band, r.score) for r in got}) == 30
