@@ -1,11 +1,10 @@
 """Variant spellings of names: MinHash banding over padded q-grams, Monge-Elkan verification, star clustering.
 
-Spellings that differ only in case, spacing, punctuation, order or titles are one form. A form's views are banded: the q-grams of
-the rest of a name beside one part that is spelt alike, and the q-grams of the family name beside an initial and its own first or last
-letters. Beside an initial the family name less any one letter is a key too, as a slip inside a short name changes both ends. So two
-forms meet if they differ by a slip in one part, or if one has an initial or a short form where the other has the whole given name, and a
-frequent family name alone makes no bucket. Candidates are verified by the Monge-Elkan similarity of their parts and by how often
-each part occurs; star clustering then gives each form to its best centre.
+Spellings that differ only in case, spacing, punctuation, order or titles are one form. Two kinds of views of a form are banded: the
+q-grams of the rest of a name beside one part that is spelt alike (so a frequent family name alone makes no bucket), and the q-grams of the
+family name beside an initial, once for all forms that share both. Two forms meet if they differ by a slip in one part, or if one has an
+initial or a short form where the other has the whole given name. Candidates are verified by the Monge-Elkan similarity of their parts,
+and a slip by how often each part occurs; star clustering then gives each form to its best centre.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.operators.skew import salted_lookup
@@ -35,10 +34,20 @@ COLLABORATION = frozenset(("collaboration", "collaborations", "collab", "coll",
 #: Rows of a letter keyboard; slips hit neighbours.
 KEYBOARD = ("qwertyuiop", "asdfghjkl", "zxcvbnm")
 
-#: Similarity (Jaccard, of q-grams) at which `RECALL` of the pairs must meet in a band: a swap of two letters in a short given name,
-#: and in a family name.
-REST_TARGET, FAMILY_TARGET, RECALL = 0.33, 0.45, 0.99
+#: Similarity (Jaccard, of q-grams) at which `RECALL` of the pairs must meet in a band: any slip in a name of four letters or more, or a short
+#: form made of a name's beginning or end; and any slip in a family name of five letters or more.
+REST_TARGET, FAMILY_TARGET, RECALL = 0.38, 0.45, 0.99
+#: Rows of a band: two where a part spelt alike keeps buckets small, three beside an initial alone.
+REST_ROWS, FAMILY_ROWS = 2, 3
+#: Family names with no more letters have too few q-grams for their slips to be similar: less any one letter each is a key besides.
+SHORT = 5
+#: Least Monge-Elkan similarity of a link (see the README for recall and precision by threshold).
+LEAST_SIMILARITY = 0.8
 BLOCK = 500
+#: Rounds of star clustering by rank.
+ROUNDS = 20
+#: Tables of forms, words and pairs of families go to all tasks up to this many rows (some 20 MB); beyond, they are shuffled.
+MOST_SHARED = 1 << 18
 
 
 def bands_for(similarity: float, recall: float, rows: int) -> int:
@@ -46,8 +55,7 @@ def bands_for(similarity: float, recall: float, rows: int) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - similarity**rows))
 
 
-_ROWS = 2
-REST_BANDS, FAMILY_BANDS = bands_for(REST_TARGET, RECALL, _ROWS), bands_for(FAMILY_TARGET, RECALL, _ROWS)
+REST_BANDS, FAMILY_BANDS = bands_for(REST_TARGET, RECALL, REST_ROWS), bands_for(FAMILY_TARGET, RECALL, FAMILY_ROWS)
 
 
 def fold(s: str) -> str:
@@ -103,7 +111,7 @@ def parse_name(name: str | None) -> tuple[str, str] | None:
     return "|".join((" ".join(sorted(x[0] for x in long)), " ".join(initials), " ".join(sorted(particles)), "c" if collaboration else "")), family
 
 
-_A = np.random.RandomState(7).randint(1, 2**63 - 1, 2 * max(REST_BANDS, FAMILY_BANDS) * _ROWS, dtype=np.int64).astype(np.uint64) | np.uint64(1)
+_A = np.random.RandomState(7).randint(1, 2**63 - 1, max(REST_BANDS * REST_ROWS, FAMILY_BANDS * FAMILY_ROWS), dtype=np.int64).astype(np.uint64) | np.uint64(1)
 _PRIME = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -111,45 +119,62 @@ def _h64(s: str) -> int:
     return int.from_bytes(hashlib.blake2b(s.encode("utf-8", "surrogatepass"), digest_size=8).digest(), "little")
 
 
-def padded_grams(words: list[str], q: int = 2) -> set[str]:
-    """q-grams of each word with its ends marked."""
-    return {f"{'^' * (q - 1)}{w}{'$' * (q - 1)}"[k : k + q] for w in words for k in range(len(w) + q - 1)}
+def padded_grams(words: list[str]) -> set[str]:
+    """2-grams of each word with its ends marked, and its letters with one between: of these two letters swapped keep most."""
+    out = set()
+    for w in words:
+        p = f"^{w}$"
+        out.update(p[k : k + 2] for k in range(len(p) - 1))
+        out.update(p[k] + p[k + 2] for k in range(len(p) - 2))
+    return out
 
 
-def _buckets(anchor: str, words: list[str], bands: int, seen: dict[str, int]) -> np.ndarray:
-    """Bucket keys of one view: the anchor and `_ROWS` minima for each band, or the anchor alone without words; seen keeps the hashes of q-grams."""
-    if not words:
-        return np.array([_h64(anchor)], np.uint64).view(np.int64)
+def _buckets(anchor: str, words: list[str], bands: int, rows: int, seen: dict[str, int]) -> np.ndarray:
+    """Bucket keys of one view: the anchor and `rows` minima for each band; seen keeps the hashes of q-grams."""
     grams = padded_grams(words)
     for g in grams:
         if g not in seen:
             seen[g] = _h64(g)
-    x = np.array([seen[g] for g in grams], np.uint64)
-    mixed = x[:, None] * _A[: bands * _ROWS][None, :]
+    x = np.fromiter(map(seen.__getitem__, grams), np.uint64, len(grams))
+    mixed = x[:, None] * _A[: bands * rows][None, :]
     mixed ^= mixed >> np.uint64(29)
     mixed *= _PRIME
-    minima = (mixed >> np.uint64(16)).min(axis=0).reshape(bands, _ROWS)
+    minima = (mixed >> np.uint64(16)).min(axis=0).reshape(bands, rows)
     key = np.full(bands, _h64(anchor), np.uint64) + np.arange(bands, dtype=np.uint64) * _PRIME
-    for r in range(_ROWS):
+    for r in range(rows):
         key = (key ^ minima[:, r]) * _PRIME
         key ^= key >> np.uint64(31)
     return key.view(np.int64)
 
 
-def _views(form: str, family: str, expansions: list[str] | None) -> tuple[bool, list[tuple[str, list[str], int]]]:
-    """Whether the form asks (it has an initial or a short form for a given name), and its views: (anchor, words, bands)."""
+def _rest_views(form: str) -> list[tuple[str, list[str]]]:
+    """(part spelt alike, the rest) for each part of a form of several."""
+    words = [fold(w) for w in form.split("|")[0].split()]
+    return [(f"F{t}", words[:n] + words[n + 1 :]) for n, t in enumerate(words)] if len(words) > 1 else []
+
+
+def _lone(form: str) -> str:
+    """The part of a form of one word without any initial, "" of others: it meets others like it by slips alone."""
+    longs, initials, _, group = form.split("|")
+    return fold(longs) + group if longs and " " not in longs and not initials else ""
+
+
+def _homes(form: str, family: str, expansions: list[str] | None) -> tuple[bool, list[tuple[str, str]]]:
+    """Whether the form asks (it has an initial or a short form for a given name), and (initial, family name) of it."""
     longs, initials, _, group = form.split("|")
-    words = [fold(w) for w in longs.split()]
-    views = [(f"F{t}", [w for k, w in enumerate(words) if k != n], REST_BANDS) for n, t in enumerate(words)] if len(words) > 1 else []
-    asks = len(words) == 1 and bool(initials) or bool(expansions)
-    if words and not group:
-        home = fold(family)
-        firsts = {w[0] for w in words if w != home} or set(initials[:1])
-        for i in sorted(firsts | {fold(e)[0] for e in expansions or [] if e}):
-            views += [(f"P{i}{home[:3]}", [home], FAMILY_BANDS), (f"S{i}{home[-4:]}", [home], FAMILY_BANDS)]
-            # A slip inside a short family name changes both ends; less one letter, names with any one slip between them are alike.
-            views += [(f"D{i}{w}", [], 1) for w in sorted(_less_one(home))]
-    return asks, views
+    words, initials = [fold(w) for w in longs.split()], initials.split()
+    if not words or group:
+        return False, []
+    home = fold(family)
+    firsts = {w[0] for w in words if w != home} or set(initials[:1])
+    return len(words) == 1 and bool(initials) or bool(expansions), [(i, home) for i in sorted(firsts | {fold(e)[0] for e in expansions or [] if e})]
+
+
+def _home_keys(initial: str, home: str, seen: dict[str, int]) -> np.ndarray:
+    keys = _buckets(f"I{initial}", [home], FAMILY_BANDS, FAMILY_ROWS, seen)
+    if len(home) > SHORT + 1:  # two words of SHORT letters at most differ by no more than a letter of one of them
+        return keys
+    return np.concatenate((keys, np.array([_h64(f"D{initial}{w}") for w in sorted(_less_one(home))], np.uint64).view(np.int64)))
 
 
 def _less_one(word: str) -> set[str]:
@@ -276,63 +301,121 @@ def name_forms(df: DataFrame, names: str, short_forms: DataFrame) -> tuple[DataF
 
     mentions = df.select(F.explode(names).alias("name")).where(F.col("name").isNotNull()).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
     spellings = cut(mentions.withColumn("p", parsed("name")).select("name", "n", "p.form", "p.family").where(F.col("form").isNotNull()))
-    votes = spellings.groupBy("form", "family").agg(F.sum("n").alias("n"))
+    # One shuffle, by form, serves both aggregations.
+    votes = spellings.repartition("form").groupBy("form", "family").agg(F.sum("n").alias("n"))
     forms = votes.groupBy("form").agg(F.max_by("family", F.struct("n", "family")).alias("family"), F.sum("n").alias("mentions"))
+    known = short_forms.select(F.lower("short_form").alias("short"), F.lower("given_name").alias("given")).where(F.col("short").isNotNull() & F.col("given").isNotNull()).groupBy("short").agg(F.array_sort(F.collect_set("given")).alias("given"))
+    known = cut(known)
     part = forms.select("form", "family", F.explode(F.split(F.split_part("form", F.lit("|"), F.lit(1)), " ")).alias("short"))
-    known = short_forms.select(F.lower("short_form").alias("short"), F.lower("given_name").alias("given")).where(F.col("short").isNotNull() & F.col("given").isNotNull()).distinct()
-    expanded = part.where((F.col("short") != F.col("family")) & (F.col("short") != "")).join(known, "short").groupBy("form").agg(F.collect_set("given").alias("expansions"))
-    return spellings.select("name", "form"), forms.join(expanded, "form", "left").withColumn("id", F.xxhash64("form"))
+    expanded = part.where((F.col("short") != F.col("family")) & (F.col("short") != "")).join(_sent(known, _few(known)), "short")
+    expanded = expanded.groupBy("form").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("given")))).alias("expansions"))
+    forms = forms.join(expanded, "form", "left")
+    return spellings.select("name", "form"), forms.withColumn("id", F.xxhash64("form"))
+
+
+def _few(df: DataFrame) -> bool:
+    return df.count() <= MOST_SHARED
 
 
-def name_links(forms: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(a, b, score): verified links between forms, a < b. Buckets of more than about `block` forms are compared in blocks, in many tasks; none is cut."""
-    schema = "bucket bigint, id bigint, asks boolean, kind boolean"
+def _sent(df: DataFrame, few: bool) -> DataFrame:
+    """df as the side of a join that all tasks get, if it was found to be small."""
+    return F.broadcast(df) if few else df
+
+
+def bucket_pairs(rows: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(a, b), a < b: the ids of rows (bucket, id, asks) that share a bucket and of which one asks; each pair perhaps several times.
+
+    Rows are shuffled once, by bucket. Buckets of up to `block` rows are paired where they are; larger ones are compared in blocks, in
+    many tasks; none is cut.
+    """
+    # Most buckets hold one row; the others are stored, as two ways lead on from here.
+    sized = cut(rows.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("bucket"))).where(F.col("n") > 1))
+    one = F.struct("id", "asks")
+    lists = sized.where(F.col("n") <= block).groupBy("bucket").agg(F.collect_list(one).alias("all")).where(F.exists("all", lambda x: x["asks"]))
+    met = lists.select(F.explode("all").alias("x"), "all").select("x", F.explode(F.filter("all", lambda y: (F.col("x.id") < y["id"]) & (F.col("x.asks") | y["asks"]))).alias("y"))
+    large = sized.where(F.col("n") > block).withColumn("blocks", F.ceil(F.col("n") / block).cast("int"))
+    left = large.select("bucket", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("salt"), one.alias("x"))
+    right = large.select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"), one.alias("y"))
+    crossed = left.join(right, ["bucket", "salt"]).where((F.col("x.id") < F.col("y.id")) & (F.col("x.asks") | F.col("y.asks"))).select("x", "y")
+    return met.unionByName(crossed).select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
+
+
+def _exploded(df: DataFrame, views, columns: list[str]) -> DataFrame:
+    """(bucket, id, asks) of df's rows; views(row's columns, seen) gives bucket keys."""
 
     def banded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         seen: dict[str, int] = {}
         for pdf in batches:
-            buckets, ids, asking, kinds = [], [], [], []
-            for form, family, expansions, i in zip(pdf["form"], pdf["family"], pdf["expansions"], pdf["id"]):
-                asks, views = _views(form, family, None if expansions is None else list(expansions))
-                for anchor, words, bands in views:
-                    buckets.append(_buckets(anchor, words, bands, seen))
-                    ids.append(np.full(bands, i))
-                    asking.append(np.full(bands, asks))
-                    kinds.append(np.full(bands, anchor[0] == "F"))
-            yield pd.DataFrame({"bucket": np.concatenate(buckets), "id": np.concatenate(ids), "asks": np.concatenate(asking), "kind": np.concatenate(kinds)} if ids else {c.split()[0]: [] for c in schema.split(", ")})
-
-    rows = forms.select("form", "family", "expansions", "id").mapInPandas(banded, schema).distinct()
-    rows = cut(rows)
-    large = rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > block).select("bucket", F.ceil(F.col("n") / block).cast("int").alias("blocks"))
-    split = salted_lookup(rows, large, "bucket", "id").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-    left = split.select("bucket", F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("salt"), F.col("id").alias("a"), F.col("asks").alias("asks_a"), "kind")
-    right = split.select("bucket", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("salt"), F.col("id").alias("b"), F.col("asks").alias("asks_b"))
-    pairs = left.join(right, ["bucket", "salt"]).where((F.col("a") < F.col("b")) & (F.col("kind") | F.col("asks_a") | F.col("asks_b"))).select("a", "b").distinct()
-    text = lambda x: forms.select(F.col("id").alias(x), F.struct("form", "family", "expansions").alias(f"form_{x}"))
+            keys = [views(seen, *v) for v in zip(*(pdf[c] for c in columns))]
+            sizes = [len(k) for k in keys]
+            yield pd.DataFrame({"bucket": np.concatenate(keys) if keys else np.zeros(0, np.int64), "id": np.repeat(pdf["id"].to_numpy(np.int64), sizes), "asks": np.repeat(pdf["asks"].to_numpy(bool), sizes)})
 
-    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            found = [(a, b, *compare(_plain(x), _plain(y))) for a, b, x, y in zip(pdf["a"], pdf["b"], pdf["form_a"], pdf["form_b"])]
-            yield pd.DataFrame([f for f in found if f[2] > 0], columns=["a", "b", "score", "part_a", "part_b"])
+    return df.select(*columns, "id", "asks").mapInPandas(banded, "bucket bigint, id bigint, asks boolean")
 
-    links = pairs.join(text("a"), "a").join(text("b"), "b").mapInPandas(verified, "a bigint, b bigint, score double, part_a string, part_b string")
-    # A slip makes a rare part out of a usual one; two parts that are both usual are two names.
-    parts = forms.select(F.explode(F.split(F.split_part("form", F.lit("|"), F.lit(1)), " ")).alias("word"))
 
-    @F.pandas_udf("string")
+def name_links(forms: DataFrame, block: int = BLOCK, least: float = LEAST_SIMILARITY) -> DataFrame:
+    """(a, b, score): verified links between forms, a < b, with a Monge-Elkan similarity of `least` or more."""
+    few = _few(forms)
+
+    @F.pandas_udf("struct<asks boolean, homes array<struct<initial string, home string>>, lone string>")
+    def read(form: pd.Series, family: pd.Series, expansions: pd.Series) -> pd.DataFrame:
+        rows = []
+        for f, h, e in zip(form, family, expansions):
+            asks, homes = _homes(f, h, None if e is None else list(e))
+            rows.append((asks, [{"initial": i, "home": w} for i, w in homes], _lone(f)))
+        return pd.DataFrame(rows, columns=["asks", "homes", "lone"])
+
+    @F.pandas_udf("array<string>")
     def folded(s: pd.Series) -> pd.Series:
-        return s.map(fold)
+        return s.map(lambda x: [fold(w) for w in x.split("|")[0].split()])
+
+    forms = cut(forms.withColumn("r", read("form", "family", "expansions")).select("form", "family", "expansions", "id", "r.*", folded("form").alias("words")))
+
+    def rest(seen: dict[str, int], form: str) -> np.ndarray:
+        views = [_buckets(t, words, REST_BANDS, REST_ROWS, seen) for t, words in _rest_views(form)]
+        lone = _lone(form)
+        if lone:
+            views.append(_buckets("M", [lone], FAMILY_BANDS, FAMILY_ROWS, seen))
+        return np.concatenate(views) if views else np.zeros(0, np.int64)
+
+    beside = bucket_pairs(_exploded(forms.withColumn("asks", F.lit(True)), rest, ["form"]), block)
+    # Family names beside an initial: once for all forms that share both; equal ones are one row and need no band.
+    homes = forms.select("id", "asks", F.explode("homes").alias("h")).select("id", "asks", "h.*", F.xxhash64("h.initial", "h.home").alias("home_id"))
+    kinds = cut(homes.groupBy(F.col("home_id").alias("id")).agg(F.first("initial").alias("initial"), F.first("home").alias("home"), F.max("asks").alias("asks")))
+    alike = bucket_pairs(_exploded(kinds, lambda seen, initial, home: _home_keys(initial, home, seen), ["initial", "home"]), block).distinct()
+    few_kinds = _few(kinds)
+    named = lambda x: kinds.select(F.col("id").alias(x), F.col("home").alias(f"home_{x}"))
 
-    frequency = parts.where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("n")).groupBy(folded("word").alias("word")).agg(F.sum("n").alias("n"))
-    count = lambda x: frequency.select(F.col("word").alias(f"part_{x}"), F.col("n").alias(f"n_{x}"))
-    judged = links.join(count("a"), "part_a", "left").join(count("b"), "part_b", "left")
-    low, high = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
     @F.pandas_udf("int")
-    def slip_kind(x: pd.Series, y: pd.Series) -> pd.Series:
+    def slip_count(x: pd.Series, y: pd.Series) -> pd.Series:
         return pd.Series([slips(p, q) for p, q in zip(x, y)], dtype="int32")
 
-    usual = F.when(slip_kind("part_a", "part_b") <= 1, (low <= 2) | (low * 4 <= high)).otherwise(((low <= 1) & (high >= 3)) | (low * 10 <= high))
-    return judged.where((F.col("part_a") == "") | usual).select("a", "b", "score")
+    slipped = alike.join(_sent(named("a"), few_kinds), "a").join(_sent(named("b"), few_kinds), "b").where(slip_count("home_a", "home_b") <= 2).select("a", "b")
+    near = cut(slipped.unionByName(slipped.select(F.col("b").alias("a"), F.col("a").alias("b"))).unionByName(kinds.where("asks").select(F.col("id").alias("a"), F.col("id").alias("b"))))
+    # Those that ask meet all who share the initial and a family name alike; hot family names are spread over tasks.
+    asking = homes.where("asks").select(F.col("id").alias("x"), F.col("home_id").alias("a"))
+    asked = asking.join(_sent(near, _few(near)), "a").select("x", F.col("b").alias("home_id"))
+    met = salted_lookup(homes.select(F.col("id").alias("y"), "home_id"), asked, "home_id", "y").where(F.col("x").isNotNull() & (F.col("x") != F.col("y")))
+    pairs = beside.unionByName(met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))).distinct()
+    text = lambda x: forms.select(F.col("id").alias(x), F.struct("form", "family", "expansions").alias(f"form_{x}"))
+
+    def verified(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            found = [(a, b, *compare(_plain(x), _plain(y))) for a, b, x, y in zip(pdf["a"], pdf["b"], pdf["form_a"], pdf["form_b"])]
+            yield pd.DataFrame([(*f, slips(f[3], f[4])) for f in found if f[2] >= least], columns=["a", "b", "score", "part_a", "part_b", "slips"])
+
+    links = cut(pairs.join(_sent(text("a"), few), "a").join(_sent(text("b"), few), "b").mapInPandas(verified, "a bigint, b bigint, score double, part_a string, part_b string, slips int"))
+    # A slip makes a rare part out of a usual one; two parts that are both usual are two names.
+    slipped = links.where(F.col("part_a") != "")
+    frequency = forms.select(F.explode("words").alias("word")).where(F.col("word") != "").groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    wanted = slipped.select(F.explode(F.array("part_a", "part_b")).alias("word")).distinct()
+    frequency = cut(frequency.join(wanted, "word", "left_semi"))
+    few_words = _few(frequency)
+    count = lambda x: _sent(frequency.select(F.col("word").alias(f"part_{x}"), F.col("n").alias(f"n_{x}")), few_words)
+    judged = slipped.join(count("a"), "part_a", "left").join(count("b"), "part_b", "left")
+    low, high = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
+    usual = F.when(F.col("slips") <= 1, (low <= 2) | (low * 4 <= high)).otherwise(((low <= 1) & (high >= 3)) | (low * 10 <= high))
+    return links.where(F.col("part_a") == "").select("a", "b", "score").unionByName(judged.where(usual).select("a", "b", "score"))
 
 
 def _plain(row) -> tuple[str, str, list[str] | None]:
@@ -340,32 +423,43 @@ def _plain(row) -> tuple[str, str, list[str] | None]:
     return row["form"], row["family"], None if e is None else list(e)
 
 
-def star_clusters(nodes: DataFrame, links: DataFrame) -> DataFrame:
+def star_clusters(nodes: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     """(id, center): star clustering of nodes (id, rank) under links (a, b, score).
 
     A node is a centre if no node linked to it that ranks higher (rank, then id) is one; others belong to their most similar centre, of
     equally similar ones to the highest in rank. Found in rounds, each over the undecided nodes only; between rounds the state is written to the
-    shared folder. Nodes without links are their own centres. No links or no nodes give no errors.
+    shared folder. A round decides all nodes that outrank their undecided neighbours, so there are as many as the longest chain of falling ranks;
+    after `rounds` of them the rest go by a hash of their ids instead of rank, which leaves a number of rounds in the logarithm of the nodes. Nodes
+    without links are their own centres. No links or no nodes give no errors.
     """
+    few = _few(nodes)
     order = lambda x: F.struct(F.col(f"rank_{x}"), F.col(x))
-    ranked = lambda x: nodes.select(F.col("id").alias(x), F.col("rank").alias(f"rank_{x}"))
+    ranked = lambda x: _sent(nodes.select(F.col("id").alias(x), F.col("rank").alias(f"rank_{x}")), few)
     both = links.select("a", "b", "score").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"), "score"))
     edges = cut(both.groupBy("a", "b").agg(F.max("score").alias("score")).join(ranked("a"), "a").join(ranked("b"), "b"))
-    open_edges, centers = edges.select("a", "b", order("a").alias("oa"), order("b").alias("ob")), None
+    open_edges, centers, n = edges.select("a", "b", "rank_a", "rank_b"), None, 0
     while True:
+        n += 1
+        if n == rounds + 1:
+            open_edges = open_edges.withColumns({"rank_a": F.xxhash64("a"), "rank_b": F.xxhash64("b")})
         # Among undecided nodes: those that outrank every undecided neighbour.
-        new = cut(open_edges.groupBy("a").agg(F.max(F.col("ob")).alias("top"), F.first("oa").alias("oa")).where(F.col("oa") > F.col("top")).select(F.col("a").alias("id")))
-        if new.isEmpty():
+        new = cut(open_edges.groupBy("a", "rank_a").agg(F.max(order("b")).alias("top")).where(order("a") > F.col("top")).select(F.col("a").alias("id")))
+        size = new.count()
+        if not size:
             break
+        few_new = size <= MOST_SHARED
         centers = new if centers is None else centers.unionByName(new)
-        taken = open_edges.join(new.select(F.col("id").alias("b")), "b", "left_semi").select("a").unionByName(new.select(F.col("id").alias("a"))).distinct()
-        gone = cut(taken)
-        open_edges = cut(open_edges.join(gone, "a", "left_anti").join(gone.select(F.col("a").alias("b")), "b", "left_anti"))
+        taken = open_edges.join(_sent(new.select(F.col("id").alias("b")), few_new), "b", "left_semi").select("a").unionByName(new.select(F.col("id").alias("a")))
+        gone = cut(taken.distinct())
+        few_gone = few_new and _few(gone)
+        open_edges = cut(open_edges.join(_sent(gone, few_gone), "a", "left_anti").join(_sent(gone.select(F.col("a").alias("b")), few_gone), "b", "left_anti"))
     if centers is None:
         return nodes.select("id", F.col("id").alias("center"))
     # Everyone else is a centre too: a node whose neighbours all belong to other centres has dropped out of the open links undecided.
-    satellites = cut(edges.join(centers.select(F.col("id").alias("b")), "b", "left_semi").select(F.col("a").alias("id")).distinct())
-    own = edges.join(satellites.select(F.col("id").alias("a")), "a", "left_semi").join(satellites.select(F.col("id").alias("b")), "b", "left_anti")
+    few_centers = _few(centers)
+    satellites = cut(edges.join(_sent(centers.select(F.col("id").alias("b")), few_centers), "b", "left_semi").select(F.col("a").alias("id")).distinct())
+    few_satellites = _few(satellites)
+    own = edges.join(_sent(satellites.select(F.col("id").alias("a")), few_satellites), "a", "left_semi").join(_sent(satellites.select(F.col("id").alias("b")), few_satellites), "b", "left_anti")
     best = own.groupBy(F.col("a").alias("id")).agg(F.max_by("b", F.struct("score", order("b"))).alias("center"))
     return nodes.select("id").join(best, "id", "left").withColumn("center", F.coalesce("center", "id"))
 

@@ -53,9 +53,9 @@ def test_collision_curve():
         v = w[:k] + w[k + 1] + w[k] + w[k + 2 :]
         a, b = N.padded_grams([w]), N.padded_grams([v])
         s = len(a & b) / len(a | b)
-        hit = set(N._buckets("x", [w], N.REST_BANDS, {})) & set(N._buckets("x", [v], N.REST_BANDS, {}))
+        hit = set(N._buckets("x", [w], N.REST_BANDS, N.REST_ROWS, {})) & set(N._buckets("x", [v], N.REST_BANDS, N.REST_ROWS, {}))
         met += bool(hit)
-        expected += 1 - (1 - s**N._ROWS) ** N.REST_BANDS
+        expected += 1 - (1 - s**N.REST_ROWS) ** N.REST_BANDS
         n += 1
     assert abs(met - expected) / n < 0.03 and met / n > 0.97
     assert N.bands_for(0.5, 0.99, 2) == 17
@@ -128,3 +128,39 @@ def test_empty_tables(spark):
     one = spark.createDataFrame([(["A. B.", "Solo", "x" * 5000], "n", "f", "i")], SCHEMA)
     assert N.name_pairs(N.link_names(one, "authors", short)).count() == 0
     assert np.isfinite(N.REST_BANDS) and one.select(F.size("authors")).first()[0] == 3
+
+
+def test_one_family_of_many_forms(spark):
+    """A family name that all names share: each slip in a given name is met, and no two names that only share it are linked."""
+    rng = random.Random(8)
+    given = sorted({"".join(rng.choice("bdgklmnprstvz") + rng.choice("aeiou") for _ in range(4)).capitalize() for _ in range(5000)})
+    slipped = {g: g[:3] + g[4] + g[3] + g[5:] for g in given[::50]}
+    rows = [([f"{g} Wagner"] * 5,) for g in given] + [([f"{v} Wagner"],) for v in slipped.values()]
+    short = spark.createDataFrame([], "given_name string, short_form string")
+    _, forms = N.name_forms(spark.createDataFrame(rows, "authors array<string>"), "authors", short)
+    forms = forms.cache()
+    name = {r.id: next(w for w in r.form.split("|")[0].split() if w != "wagner") for r in forms.collect()}
+    links = {frozenset((name[r.a], name[r.b])) for r in N.name_links(forms).collect()}
+    true = {frozenset((g.lower(), v.lower())) for g, v in slipped.items()}
+    assert len(links & true) >= 0.97 * len(true)
+    assert all(N.slips(*sorted(p, key=len)) <= 2 for p in links)
+
+
+def test_tables_too_large_to_share_give_the_same(spark, monkeypatch):
+    people = make(random.Random(9), families=5, people=25)
+    df = spark.createDataFrame([(v, "n", "f", "i") for v in people.values()], SCHEMA)
+    short = spark.createDataFrame([("Zorren", "Zor")], "given_name string, short_form string")
+    near = {tuple(r) for r in N.name_pairs(N.link_names(df, "authors", short)).collect()}
+    monkeypatch.setattr(N, "MOST_SHARED", 0)
+    assert near == {tuple(r) for r in N.name_pairs(N.link_names(df, "authors", short)).collect()} and near
+
+
+def test_star_clusters_end_after_bounded_rounds(spark):
+    """A chain of falling ranks, longer than the rounds by rank: the rest still comes to a star clustering."""
+    n = 30
+    nodes = spark.createDataFrame([(k, n - k) for k in range(n)], "id long, rank long")
+    links = spark.createDataFrame([(k, k + 1, 0.9) for k in range(n - 1)], "a long, b long, score double")
+    got = {r.id: r.center for r in N.star_clusters(nodes, links, rounds=2).collect()}
+    centers = {c for c in got.values()}
+    assert all(got[c] == c for c in centers) and all(k == c or abs(k - c) == 1 for k, c in got.items())
+    assert not any(k in centers and k + 1 in centers for k in range(n - 1)) and [got[0], got[1]] == [0, 0]

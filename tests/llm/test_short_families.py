@@ -7,7 +7,7 @@ from ledgerline.llm import names as N
 
 def keys(name):
     form, family = N.parse_name(name)
-    return {int(b) for anchor, words, bands in N._views(form, family, None)[1] for b in N._buckets(anchor, words, bands, {})}
+    return {int(b) for initial, home in N._homes(form, family, None)[1] for b in N._home_keys(initial, home, {})}
 
 
 def slipped(w):
