@@ -300,7 +300,8 @@ def name_forms(df: DataFrame, names: str, short_forms: DataFrame) -> tuple[DataF
         return pd.DataFrame([parse_name(x) or (None, None) for x in s], columns=["form", "family"])
 
     mentions = df.select(F.explode(names).alias("name")).where(F.col("name").isNotNull()).groupBy("name").agg(F.count(F.lit(1)).alias("n"))
-    spellings = cut(mentions.withColumn("p", parsed("name")).select("name", "n", "p.form", "p.family").where(F.col("form").isNotNull()))
+    # The filter stands behind the cut: before it, names would be parsed once for each mention.
+    spellings = cut(mentions.withColumn("p", parsed("name")).select("name", "n", "p.form", "p.family")).where(F.col("form").isNotNull())
     # One shuffle, by form, serves both aggregations.
     votes = spellings.repartition("form").groupBy("form", "family").agg(F.sum("n").alias("n"))
     forms = votes.groupBy("form").agg(F.max_by("family", F.struct("n", "family")).alias("family"), F.sum("n").alias("mentions"))
