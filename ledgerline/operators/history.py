@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.urls import repo_url
+from ledgerline.session import cut
 
 
 def change_history(df: DataFrame, key: str, time: str, attributes: Sequence[str], block: str = "hour") -> DataFrame:
@@ -18,31 +19,35 @@ def change_history(df: DataFrame, key: str, time: str, attributes: Sequence[str]
     compared within one entity and one `block` of time ("hour", "day" ..); then one summary row a block (first and last state,
     islands) is compared across blocks of the entity, and its outcome is joined back. No task holds more of an entity than one
     block's readings or one row for each block of time, even if an entity has a third of all readings and changes at every one.
+    df is read once: the islands, each with its block's summary, are stored in the shared folder.
 
     Rows without key or time are left out; NULL attributes are values like any other. Different states at one instant are put
     in order by their hash, equal ones count once. An empty df gives no rows. Columns besides those named are ignored.
     """
-    state = F.xxhash64(*(F.to_json(F.struct(F.col(a).alias("v")), {"ignoreNullFields": "false"}) for a in attributes))
+    kinds = dict(df.dtypes)
+    # Hashes skip NULLs, so each value goes with a mark; values with parts go as JSON, which marks those within.
+    plain = lambda a: F.to_json(F.struct(F.col(a).alias("v")), {"ignoreNullFields": "false"}) if kinds[a].startswith(("array", "struct", "map")) else F.col(a)
+    state = F.xxhash64(*(c for a in attributes for c in (F.col(a).isNull(), plain(a))))
     readings = (
         df.where(F.col(key).isNotNull() & F.col(time).isNotNull())
         .select(F.col(key).alias("__key"), F.date_trunc(block, time).alias("__block"), F.col(time).alias("__time"), state.alias("__state"), *(F.col(a).alias(f"__a{k}") for k, a in enumerate(attributes)))
         .repartition("__key", "__block")
     )
     inside = Window.partitionBy("__key", "__block").orderBy("__time", "__state")
-    islands = (
+    upwards = Window.partitionBy("__key", "__block").orderBy("__island")
+    whole = upwards.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    islands = cut(
         readings.withColumn("__before", F.lag("__state").over(inside))
         .withColumn("__starts", (~F.col("__before").eqNullSafe(F.col("__state"))).cast("long"))
         .withColumn("__island", F.sum("__starts").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
         .where(F.col("__starts") == 1)
         .drop("__before", "__starts")
+        .withColumn("__lead", F.lead("__time").over(upwards))
+        .withColumn("__last_state", F.last("__state").over(whole))
+        .withColumn("__islands", F.max("__island").over(whole))
+        .withColumn("__first", F.col("__island") == 1)
     )
-    blocks = islands.groupBy("__key", "__block").agg(
-        F.min_by("__state", "__island").alias("__first_state"),
-        F.max_by("__state", "__island").alias("__last_state"),
-        F.min(F.when(F.col("__island") == 1, F.col("__time"))).alias("__first_time"),
-        F.min(F.when(F.col("__island") == 2, F.col("__time"))).alias("__second_time"),
-        F.count(F.lit(1)).alias("__islands"),
-    )
+    blocks = islands.where("__first").select("__key", "__block", F.col("__state").alias("__first_state"), "__last_state", F.col("__time").alias("__first_time"), F.col("__lead").alias("__second_time"), "__islands")
     forward, backward = Window.partitionBy("__key").orderBy("__block"), Window.partitionBy("__key").orderBy(F.desc("__block"))
     # A block's first island goes on with the version before it if the block before ended in the same state.
     linked = (
@@ -54,9 +59,8 @@ def change_history(df: DataFrame, key: str, time: str, attributes: Sequence[str]
     )
     return (
         islands.join(linked, ["__key", "__block"])
-        .withColumn("__to", F.coalesce(F.lead("__time").over(Window.partitionBy("__key", "__block").orderBy("__island")), F.col("__next")))
         .where(F.col("__island") > F.col("__goes_on"))
-        .select(F.col("__key").alias(key), (F.col("__passed") + F.col("__island") - F.col("__goes_on")).alias("version"), *(F.col(f"__a{k}").alias(a) for k, a in enumerate(attributes)), F.col("__time").alias("valid_from"), F.col("__to").alias("valid_to"))
+        .select(F.col("__key").alias(key), (F.col("__passed") + F.col("__island") - F.col("__goes_on")).alias("version"), *(F.col(f"__a{k}").alias(a) for k, a in enumerate(attributes)), F.col("__time").alias("valid_from"), F.coalesce("__lead", "__next").alias("valid_to"))
     )
 
 

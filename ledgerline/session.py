@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,6 +19,7 @@ def build_session(app: str = "ledgerline", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in conf.items():
         builder = builder.config(key.replace("__", "."), value)
@@ -23,16 +27,21 @@ def build_session(app: str = "ledgerline", **conf: str) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; only where none is set (tests, local runs) one is made."""
+    """The folder of spark.checkpoint.dir; only where none is set and all runs in one process (tests) one is made, which ends with the session's process.
+
+    Files in it are removed when what they hold is no longer referred to, if spark.cleaner.referenceTracking.cleanCheckpoints is set, as build_session does.
+    """
     context = spark.sparkContext
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder is None:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = "file://" + os.path.join(tempfile.mkdtemp(prefix="ledgerline-"), "checkpoints")
+        own = tempfile.mkdtemp(prefix="ledgerline-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        folder = "file://" + os.path.join(own, "checkpoints")
     context.setCheckpointDir(folder)
     return folder
 

@@ -47,14 +47,16 @@ def test_repository_history_tells_states(spark):
 
 def test_bloom_filter_has_no_false_negatives(spark):
     keys = spark.range(2000).select(F.col("id").cast("string").alias("k"))
-    words, bits = bloom_words(keys, "k")
-    assert keys.where(~might_contain(words, bits, F.col("k"))).count() == 0
     others = spark.range(10_000, 30_000).select(F.col("id").cast("string").alias("k"))
-    assert others.where(might_contain(words, bits, F.col("k"))).count() < 1000
-    none, bits = bloom_words(keys.limit(0), "k")
-    assert keys.where(might_contain(none, bits, F.col("k"))).count() == 0
-    small, bits = bloom_words(keys, "k", max_bits=64)
-    assert bits == 64 and keys.where(~might_contain(small, bits, F.col("k"))).count() == 0
+    for max_bits, parts in ((1 << 26, 1), (1 << 13, 3)):  # in one part, and in three
+        made = bloom_words(keys, "k", 2000, max_bits=max_bits)
+        assert made[2] == parts and might_contain(keys, "k", made).where(~F.col("__possible")).count() == 0
+        assert might_contain(others, "k", made).where("__possible").count() < 1000
+    none = bloom_words(keys.limit(0), "k", 0)
+    assert might_contain(keys, "k", none).where("__possible").count() == 0
+    small = bloom_words(keys, "k", 2000, max_bits=64)
+    assert small[1:] == (64, 16) and might_contain(keys, "k", small).where(~F.col("__possible")).count() == 0
+    assert might_contain(keys.select(F.lit(None).cast("string").alias("k")), "k", small).where("__possible IS NULL").count() == 2000
 
 
 def test_orphans_whatever_the_filter_and_the_skew(spark):
@@ -71,8 +73,8 @@ def test_orphans_whatever_the_filter_and_the_skew(spark):
         return "late" if t and t < s else "removed" if t and u and t >= u else None
 
     expected = sorted(("ref", i, t and t.strftime("%Y-%m"), judge(k, t)) for i, k, t in refs if k is not None and judge(k, t))
-    for bits in (64, 1 << 26):
-        got = find_orphans([Reference("ref", r, F.col("id"), F.col("k"), F.col("t"))], p, "k", "since", "until", max_bits=bits)
+    for bits, shared in ((64, 0), (1 << 26, 0), (1 << 26, 1000)):
+        got = find_orphans([Reference("ref", r, F.col("id"), F.col("k"), F.col("t"))], p, "k", "since", "until", max_bits=bits, most_shared=shared)
         assert sorted(map(tuple, got.collect()), key=str) == sorted(expected, key=str)
     report = orphan_report(got).agg(F.sum("n_rows")).first()[0]
     assert report == len(expected)
@@ -94,7 +96,17 @@ def test_evidence_orphans_compare_canonical_keys(spark):
 def test_salted_lookup_is_a_left_join(spark):
     rows = spark.createDataFrame([(str(k), "hot" if k % 3 else f"c{k % 50}") for k in range(3000)] + [("n", None)], "id string, k string")
     keys = spark.createDataFrame([("hot", 1), ("c3", 2), ("zz", 3)], "k string, v int")
-    got = salted_lookup(rows, keys, "k", "id")
     plain = rows.join(keys, "k", "left")
-    assert sorted(map(str, got.select("id", "k", "v").collect())) == sorted(map(str, plain.select("id", "k", "v").collect()))
-    assert hot_keys(rows, "k", 10).count() == 1 and hot_keys(rows.limit(0), "k").count() == 0
+    for lot in (50, 300, 250_000):  # many salts, some, no hot key
+        got = salted_lookup(rows, keys, "k", "id", rows_a_task=lot)
+        assert sorted(map(str, got.select("id", "k", "v").collect())) == sorted(map(str, plain.select("id", "k", "v").collect()))
+    assert hot_keys(rows, "k", 10, 300).count() == 1 and hot_keys(rows.limit(0), "k").count() == 0 and hot_keys(rows, "k").count() == 0
+
+
+def test_history_in_lists_and_nulls(spark):
+    """Attributes that are lists, and NULLs that change places, are told apart."""
+    rows = [("a", 0, None, 5, ["x", None]), ("a", 1, 5, None, ["x", None]), ("a", 2, 5, None, [None, "x"]), ("a", 3, 5, None, [None, "x"])]
+    df = spark.createDataFrame([(k, T0 + timedelta(minutes=t), p, q, v) for k, t, p, q, v in rows], "k string, t timestamp, p int, q int, v array<string>")
+    got = change_history(df, "k", "t", ["p", "q", "v"]).orderBy("version").collect()
+    assert [(r.p, r.q, r.v) for r in got] == [(None, 5, ["x", None]), (5, None, ["x", None]), (5, None, [None, "x"])]
+
