@@ -1,12 +1,8 @@
-"""Sources that ask: a Python data source whose partitions fetch, and its replay from a table of recorded responses."""
+"""Data sources for short lists of requests, and the replay of any list from a table of recorded responses. Tables of requests: sources.live."""
 
 from __future__ import annotations
 
 import json
-import random
-import time
-import urllib.error
-import urllib.request
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
@@ -15,9 +11,7 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ledgerline.functions.text import content_hash
 from ledgerline.sources.attempts import fold_attempts, page_outcome
-
-SNAPSHOT = "repo_url string, exists_verified boolean, stargazers_count int, stars_fetched_at timestamp, api_status string"
-RESPONSE = "url string, http_status int, body string, content_hash string, fetch_status string, attempts int"
+from ledgerline.sources.live import REPO_HEADERS, RESPONSE, SNAPSHOT, Client, page_row, repo_row
 
 
 class _Urls(InputPartition):
@@ -44,53 +38,22 @@ class HttpPages(DataSource):
 
 
 class _Reader(DataSourceReader):
-    """Options and one request with its retries, for sources whose partitions ask."""
+    """Options as a client, and a partition for each of the requests that run at once."""
 
     def __init__(self, options):
         self.urls = json.loads(options.get("urls", "[]"))
         self.parts = max(1, int(options.get("partitions", "1")))
-        self.most_attempts = max(1, int(options.get("attempts", "5")))
-        self.base, self.most, self.jitter = (float(options.get(k, v)) for k, v in (("base", "1"), ("most", "60"), ("jitter", "0.5")))
-        self.delay, self.timeout = float(options.get("delay", "0")), float(options.get("timeout", "20"))
-        self.headers = json.loads(options.get("headers", "{}"))
+        base, most, jitter = (float(options.get(k, v)) for k, v in (("base", "1"), ("most", "60"), ("jitter", "0.5")))
+        self.client = Client(max(1, int(options.get("attempts", "5"))), base, most, jitter, float(options.get("timeout", "20")), float(options.get("delay", "0")), json.loads(options.get("headers", "{}")))
 
     def partitions(self) -> list[InputPartition]:
         return [_Urls(self.urls[k :: self.parts]) for k in range(min(self.parts, max(1, len(self.urls))))]
 
-    def get(self, url: str) -> tuple[int | None, bytes | None, dict[str, str]]:
-        try:
-            with urllib.request.urlopen(urllib.request.Request(url, headers={"User-Agent": "ledgerline", **self.headers}), timeout=self.timeout) as r:
-                return r.status, r.read(), dict(r.headers)
-        except urllib.error.HTTPError as e:
-            return e.code, None, dict(e.headers)
-        except OSError:
-            return None, None, {}
-
-    def ask(self, url: str, again) -> tuple[int | None, bytes | None, dict[str, str], int]:
-        """The last answer and the attempts used; again(status, headers) says whether an answer is worth another try."""
-        status, body, headers, used = None, None, {}, 0
-        for used in range(1, self.most_attempts + 1):
-            status, body, headers = self.get(url)
-            if not again(status, headers):
-                break
-            if used < self.most_attempts:
-                time.sleep(min(self.base * 2 ** (used - 1), self.most) + random.uniform(0, self.jitter))
-        if self.delay:
-            time.sleep(self.delay)
-        return status, body, headers, used
-
 
 class _HttpReader(_Reader):
     def read(self, partition: _Urls) -> Iterator[tuple]:
-        import hashlib
-
-        again = lambda status, _: status is None or status == 429 or status >= 500
         for url in partition.urls:
-            status, body, _, used = self.ask(url, again)
-            outcome = "TIMEOUT" if again(status, None) else "ERROR" if status >= 400 else "OK"
-            good = outcome == "OK"
-            raw = body if good and body is not None else b""
-            yield url, status if good else None, raw.decode("utf-8", "replace") if good else None, hashlib.sha256(raw).hexdigest(), outcome, used
+            yield page_row(self.client, url)
 
 
 class RepoLookups(DataSource):
@@ -115,30 +78,14 @@ class RepoLookups(DataSource):
 class _RepoReader(_Reader):
     def __init__(self, options):
         super().__init__(options)
-        self.api, self.host = options.get("api_base", "https://api.github.com").rstrip("/"), options.get("host", "github.com")
-        self.headers = {"Accept": "application/vnd.github+json", "X-GitHub-Api-Version": "2026-03-10", **self.headers}
+        self.api, self.host = options.get("api_base", "https://api.github.com"), options.get("host", "github.com")
+        self.client.headers.update({k: v for k, v in REPO_HEADERS.items() if k not in self.client.headers})
         if options.get("token"):
-            self.headers["Authorization"] = f"Bearer {options['token']}"
+            self.client.headers["Authorization"] = f"Bearer {options['token']}"
 
     def read(self, partition: _Urls) -> Iterator[tuple]:
-        import re
-        from datetime import datetime, timezone
-
-        limited = lambda status, headers: status == 429 or (status == 403 and headers.get("X-RateLimit-Remaining") == "0")
-        again = lambda status, headers: status is None or status >= 500 or limited(status, headers)
         for url in partition.urls:
-            found = re.search(re.escape(self.host) + r"/([^/]+)/([^/#?]+)", url)
-            api_status, stars, status = "ERROR", None, None
-            if found:
-                status, body, headers, _ = self.ask(f"{self.api}/repos/{found.group(1)}/{found.group(2).removesuffix('.git')}", again)
-                api_status = {200: "OK", 404: "NOT_FOUND"}.get(status, "RATE_LIMITED" if limited(status, headers) else "ERROR")
-            if api_status == "OK":
-                try:
-                    count = json.loads(body or b"").get("stargazers_count")
-                    stars = count if isinstance(count, int) and count >= 0 else None
-                except (ValueError, AttributeError):
-                    api_status = "ERROR"
-            yield url, api_status == "OK", stars, datetime.now(timezone.utc), api_status
+            yield repo_row(self.client, url, self.api, self.host)
 
 
 def replay_pages(requests: DataFrame, recorded: DataFrame, max_attempts: int = 5) -> DataFrame:
