@@ -110,3 +110,23 @@ def unverified(papers: DataFrame, links: DataFrame, snapshots: DataFrame, url: C
     chosen = links.where(F.col("is_selected")).select(F.lower("paper_id").alias("__paper"), "repo_url", url.alias("__url"))
     open_ = papers.where(F.col("status") == "RESOLVED").select("id", F.lower("id").alias("__paper"), "first_seen_at").join(chosen, "__paper")
     return open_.join(known, "__url", "left_anti").select("id", "repo_url", "first_seen_at").distinct()
+
+
+def ordered_candidates(links: DataFrame, papers: DataFrame | None = None) -> DataFrame:
+    """links with candidate_no: each paper's candidates from the strongest evidence on, equal ones by id; of all papers, or of those in papers (id).
+
+    Ids of papers are compared in lower case. Rows written twice (same id) count once; NULL strengths come last. Candidates without a paper are
+    left out. Each paper's candidates are numbered by themselves: a paper has as many as its page has links.
+    """
+    asked = links.where(F.col("paper_id").isNotNull()).dropDuplicates(["id"]).withColumn("__paper", F.lower("paper_id"))
+    if papers is not None:
+        asked = asked.join(papers.select(F.lower("id").alias("__paper")).distinct(), "__paper", "left_semi")
+    w = Window.partitionBy("__paper").orderBy(F.col("evidence_strength").asc_nulls_last(), "id")
+    return asked.withColumn("candidate_no", F.row_number().over(w)).drop("__paper")
+
+
+def selected_links(links: DataFrame) -> DataFrame:
+    """The selected link of each paper that has one; of several, which the rules forbid, the one with the least id."""
+    chosen = links.where(F.col("is_selected") & F.col("paper_id").isNotNull()).withColumn("__paper", F.lower("paper_id"))
+    w = Window.partitionBy("__paper").orderBy("id")
+    return chosen.withColumn("__n", F.row_number().over(w)).where(F.col("__n") == 1).drop("__n", "__paper")

@@ -12,7 +12,7 @@ from ledgerline.functions.text import record_id
 from ledgerline.functions.urls import repo_url
 from ledgerline.operators import relational as R
 from ledgerline.operators.associate import select_primary, selected_twice
-from ledgerline.operators.validate import build_exports
+from ledgerline.operators.validate import UNPARSED, build_exports
 from ledgerline.schemas import EXPORT_FIELDS
 from ledgerline.session import cut
 from ledgerline.sources.feed import discovered, feed_papers, first_of_feed, page_plan
@@ -32,6 +32,7 @@ class Settings:
     run_id: str
     run_at: str
     feed_base: str = "http://export.arxiv.org/api/query"
+    feed_query: str = "cat:cs.AI"
     page_size: int = 100
     max_results: int = 2000
     paper_url: str = "https://arxiv.org/abs/"
@@ -42,8 +43,9 @@ class Settings:
 
 
 class Pipeline:
-    def __init__(self, store: SnapshotStore, settings: Settings, fetch_pages: Fetch, look_up: Fetch):
-        self.store, self.settings, self.fetch_pages, self.look_up = store, settings, fetch_pages, look_up
+    def __init__(self, store: SnapshotStore, settings: Settings, fetch_pages: Fetch, look_up: Fetch, fetch_feed: Fetch | None = None):
+        """fetch_feed asks for the feed's pages, fetch_pages if there is no other."""
+        self.store, self.settings, self.fetch_pages, self.look_up, self.fetch_feed = store, settings, fetch_pages, look_up, fetch_feed or fetch_pages
         self.at = F.lit(settings.run_at).cast("timestamp")
 
     def _url(self, c: Column) -> Column:
@@ -64,8 +66,9 @@ class Pipeline:
     def discover(self) -> None:
         """Feed pages, their papers and the links between them. Papers already known are only seen again: what was parsed first stays."""
         s = self.settings
-        plan = page_plan(self.store.spark, s.feed_base, s.max_results, s.page_size)
-        asked = self.fetch_pages(plan.select(F.col("source_url").alias("url"))).join(plan.select(F.col("source_url").alias("url"), "start"), "url")
+        plan = page_plan(self.store.spark, s.feed_base, s.max_results, s.page_size, s.feed_query)
+        # All pages of the plan are asked for, a page a row; those past a stop are dropped unread.
+        asked = self.fetch_feed(plan.select(F.col("request_url").alias("url"))).join(plan.select(F.col("request_url").alias("url"), "source_url", "start"), "url").drop("url").withColumnRenamed("source_url", "url")
         rows = asked.withColumn("failed", F.col("fetch_status") != "OK").withColumn("run", F.lit(s.run_id))
         responses = cut(discovered(rows, "run", "start", "failed", "body"))
         observed = cut(self._observations(responses, "feed", "atom_xml", F.lit(None).cast("string")))
@@ -118,8 +121,8 @@ class Pipeline:
         """RESOLVED papers into records, or FAILED with a reason."""
         papers = self.store.read("papers")
         ready = papers.where(F.col("status") == "RESOLVED")
-        good, bad = build_exports(ready, self.store.read("paper_repo_links"), self.store.read("github_repo_snapshots"), self._url, self.settings.run_at, self.settings.source_name)
-        bad = cut(bad)
+        good, bad = build_exports(ready, self.store.read("paper_repo_links"), self.store.read("github_repo_snapshots"), self._url, self.settings.run_at, self.settings.source_name, stage=True)
+        bad, good = cut(bad), cut(good)
         rows = good.select(
             record_id(F.lit("record"), F.col("paper_id")).alias("id"), "paper_id", F.col("schemaVersion").alias("schema_version"), F.col("recordType").alias("record_type"),
             F.struct(*EXPORT_FIELDS).alias("export_payload"), self.at.alias("validated_at"), F.lit(None).cast("timestamp").alias("exported_at"),
@@ -129,7 +132,9 @@ class Pipeline:
         failed = papers.join(reasons, "id", "left")
         ready_ = F.col("status") == "RESOLVED"
         self.store.publish("papers", failed.withColumn("failure_reason", F.coalesce("reason", "failure_reason")).withColumn("status", F.when(ready_, F.when(F.col("reason").isNotNull(), "FAILED").otherwise("VALIDATED")).otherwise(F.col("status"))))
-        self._log(bad, "validation", F.lit("FAILED"), ["reason"], record_id=F.col("paper_id"))
+        kind = F.when(F.col("reason").startswith(UNPARSED), "ParsedPaperValidationError").otherwise("PaperValidationError")
+        self._log(bad, "validate", F.lit("FAILED"), ["reason"], record_id=F.col("paper_id"), error_type=kind)
+        self._log(good.select("paper_id"), "validate", F.lit("OK"), record_id=F.col("paper_id"))
 
     def export(self) -> None:
         """The sheet of all records anew; what was written is marked, from the same reading of the table."""

@@ -42,6 +42,70 @@ _NEEDED = {
 }
 
 
+#: Keys that may stand once: (columns, a condition or ""). Values of columns that end in id are UUID text, compared in lower case.
+UNIQUE = {
+    "papers": [(("id",), ""), (("arxiv_id",), "")],
+    "fetch_observations": [(("id",), "")],
+    "paper_repo_links": [(("id",), ""), (("paper_id",), "is_selected")],
+    "github_repo_snapshots": [(("id",), "")],
+    "validated_records": [(("id",), ""), (("paper_id",), "")],
+    "paper_fetch_observations": [(("paper_id", "fetch_observation_id"), "")],
+}
+#: Columns that refer to the id of another table; NULL refers to nothing.
+REFERENCES = {
+    "fetch_observations": {"paper_id": "papers"},
+    "paper_repo_links": {"paper_id": "papers"},
+    "validated_records": {"paper_id": "papers"},
+    "paper_fetch_observations": {"paper_id": "papers", "fetch_observation_id": "fetch_observations"},
+}
+#: What a row has where a writer says nothing; now: the time of the run.
+DEFAULTS = {
+    "papers": {"status": "DISCOVERED", "first_seen_at": "now", "last_seen_at": "now", "updated_at": "now"},
+    "fetch_observations": {"fetched_at": "now"},
+    "paper_fetch_observations": {"linked_at": "now"},
+    "paper_repo_links": {"observed_at": "now", "is_selected": False},
+    "github_repo_snapshots": {"stars_fetched_at": "now"},
+    "validated_records": {"schema_version": "1.0", "record_type": "RESEARCH_PAPER", "validated_at": "now"},
+    "pipeline_log": {"ts": "now"},
+}
+
+
+def with_defaults(df: DataFrame, table: str, run_at: str) -> DataFrame:
+    """df in the table's columns: those it lacks, and NULLs where the table has a default, filled in."""
+    out = {}
+    for f in schema(table):
+        value = DEFAULTS.get(table, {}).get(f.name)
+        default = F.lit(run_at if value == "now" else value).cast(f.dataType)
+        out[f.name] = F.coalesce(F.col(f.name), default) if f.name in df.columns else default
+    return df.select(*(c.cast(schema(table)[n].dataType).alias(n) for n, c in out.items()))
+
+
+def key_violations(tables: dict[str, DataFrame]) -> DataFrame:
+    """(table_name, rule, n_keys): how many keys break each rule that one row can't show: keys that stand twice, references without a target.
+
+    Rows that are equal throughout count as one: an append that ran twice is no second key. All rules are reported, also those that nothing
+    breaks; those whose tables aren't given are left out. NULL keys break nothing here (see violation). Counts are combined before they
+    are shuffled; a target is met by its distinct keys.
+    """
+    key = lambda c: F.lower(c) if c.endswith("id") else F.col(c)
+    out = None
+    for name, df in tables.items():
+        found = []
+        for columns, condition in UNIQUE.get(name, []):
+            rows = df.where(condition) if condition else df
+            whole = F.xxhash64(*(F.col(c) if not t.startswith("struct") else F.to_json(c) for c, t in rows.dtypes))
+            each = rows.dropna(subset=list(columns)).groupBy(*(key(c).alias(f"__{n}") for n, c in enumerate(columns))).agg(F.min(whole).alias("low"), F.max(whole).alias("high"))
+            found.append((f"unique ({', '.join(columns)})" + (f" where {condition}" if condition else ""), each.where("low <> high")))
+        for column, target in REFERENCES.get(name, {}).items():
+            if target in tables:
+                keys = df.select(F.lower(column).alias("__k")).where(F.col("__k").isNotNull()).distinct()
+                found.append((f"{column} in {target}", keys.join(tables[target].select(F.lower("id").alias("__k")).distinct(), "__k", "left_anti")))
+        for rule, broken in found:
+            one = broken.agg(F.count(F.lit(1)).alias("n_keys")).select(F.lit(name).alias("table_name"), F.lit(rule).alias("rule"), "n_keys")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
 def schema(table: str) -> T.StructType:
     return T.StructType.fromDDL(TABLES[table])
 
@@ -51,6 +115,8 @@ def violation(table: str) -> Column:
     found = F.lit(None).cast("string")
     if table == "github_repo_snapshots":
         found = F.when(F.col("stargazers_count") < 0, "stargazers_count: negative")
+    if table == "paper_repo_links":  # the strength is the evidence type's
+        found = F.when(F.col("evidence_strength") != evidence_strength(F.col("evidence_type")), "evidence_strength: not that of its type")
     for name, domain in reversed(_DOMAINS.get(table, {}).items()):
         found = F.when(F.col(name).isNotNull() & ~F.col(name).isin(*domain), f"{name}: not in its domain").otherwise(found)
     for name in reversed(_NEEDED[table]):

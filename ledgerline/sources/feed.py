@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import urlencode
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -9,11 +11,18 @@ from ledgerline.functions.text import collapse_space, feed_id, feed_time
 from ledgerline.operators.nested import flatten_feeds
 
 
-def page_plan(spark: SparkSession, base: str, max_results: int, page_size: int) -> DataFrame:
-    """(start, max_results, source_url) of each feed page to ask for; the last page isn't cut to max_results."""
-    return spark.range(0, max_results, page_size, 1).select(
-        F.col("id").alias("start"), F.lit(page_size).alias("max_results"), F.concat(F.lit(f"{base}?start="), "id", F.lit(f"&max_results={page_size}")).alias("source_url")
-    )
+# How a feed is asked for its newest records first.
+ORDER = {"sortBy": "submittedDate", "sortOrder": "descending"}
+
+
+def page_plan(spark: SparkSession, base: str, max_results: int, page_size: int, query: str = "") -> DataFrame:
+    """(start, max_results, source_url, request_url) of each feed page to ask for; the last page isn't cut to max_results.
+
+    request_url carries the search and its order; source_url, under which a page is recorded, only which page it is.
+    """
+    page = F.concat(F.lit("start="), "id", F.lit(f"&max_results={page_size}"))
+    asked = F.concat(F.lit(f"{base}?{urlencode({'search_query': query})}&"), page, F.lit(f"&{urlencode(ORDER)}"))
+    return spark.range(0, max_results, page_size, 1).select(F.col("id").alias("start"), F.lit(page_size).alias("max_results"), F.concat(F.lit(f"{base}?"), page).alias("source_url"), asked.alias("request_url"))
 
 
 def discovered(pages: DataFrame, scope: str, start: str, failed: str, payload: str, entry: str = r"<entry>") -> DataFrame:

@@ -9,6 +9,10 @@ from ledgerline.schemas import EXPORT_FIELDS
 from ledgerline.session import cut
 
 
+#: Rows that fit a spreadsheet: one file, written by one task.
+SHEET_ROWS = 1_000_000
+
+
 def sheet_rows(exports: DataFrame) -> DataFrame:
     """The export fields as text in their fixed order: lists joined by "; " (NULL elements left out), NULL as ''."""
     kinds = dict(exports.dtypes)
@@ -31,8 +35,15 @@ def chunked(rows: DataFrame, order: list[str], size: int = 500) -> DataFrame:
     return numbered.join(F.broadcast(before), "__part").withColumn("chunk", F.floor((F.col("__before") + F.col("__no")) / size).cast("int")).drop("__part", "__no", "__before")
 
 
-def write_sheet(rows: DataFrame, path: str | None, sheet_id: str | None) -> None:
-    """The whole sheet anew at path/sheet_id, with a header. Both must be named."""
+def write_sheet(rows: DataFrame, path: str | None, sheet_id: str | None, most: int = SHEET_ROWS) -> None:
+    """The whole sheet anew at path/sheet_id, with a header. Both must be named.
+
+    A sheet of at most `most` rows, which is what a spreadsheet can show, is one file; a larger one has as many files as ranges of its
+    order, each with the header, whose names follow the order.
+    """
     if not path or not sheet_id:
         raise ValueError("a sheet needs a place and an id")
-    rows.coalesce(1).write.mode("overwrite").option("header", True).csv(f"{path.rstrip('/')}/{sheet_id}")
+    rows = cut(rows)
+    if rows.count() <= most:
+        rows = rows.coalesce(1)
+    rows.write.mode("overwrite").option("header", True).csv(f"{path.rstrip('/')}/{sheet_id}")
