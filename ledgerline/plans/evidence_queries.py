@@ -2,24 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.text import collapse_space, content_hash, feed_id, feed_time, iso_text
-from ledgerline.functions.urls import owner_and_repo, repo_url
+from ledgerline.functions.urls import RESERVED_OWNERS, owner_and_repo, repo_url
 from ledgerline.grounding.checks import EXTRACTION, decode, ground
 from ledgerline.grounding.pipeline import route
 from ledgerline.operators import relational as R
 from ledgerline.operators.associate import mark_selected, select_primary, selected_twice
 from ledgerline.operators.skew import salted_lookup
-from ledgerline.operators.validate import build_exports
+from ledgerline.operators.validate import build_exports, reject_reason
 from ledgerline.plans.core_queries import _url
-from ledgerline.schemas import evidence_strength, violation
+from ledgerline.schemas import EXPORT_FIELDS, evidence_strength, key_violations, violation
 from ledgerline.session import table
 from ledgerline.sources.attempts import backoff, fold_attempts, provider_wait, repo_outcome
 from ledgerline.sources.feed import discovered, feed_papers, page_plan
 from ledgerline.sources.log import events
 from ledgerline.sources.pages import anchors, link_candidates
+from ledgerline.sources.replay import replay_pages
 from ledgerline.sources.sheet import chunked, sheet_rows
 
 HOST = "codeforge.example"
@@ -28,6 +29,9 @@ RUN_AT = "2025-03-01 00:00:00"
 #: The moment that splits a table into what was there and what came later, where a query needs both.
 SPLIT = "2025-01-20 00:00:00"
 
+#: A moment at which most repositories had no snapshot yet.
+EARLY = "2025-01-02 00:00:00"
+
 SQL: dict[str, str] = {}
 QUERIES: dict = {}
 
@@ -79,9 +83,11 @@ def feed_rejects(spark: SparkSession, d: str) -> DataFrame:
     return feed_papers(table(spark, d, "fetch_observations"), "id", "raw_payload.atom_xml")[1]
 
 
-@query("SELECT range AS start, 100 AS max_results, 'https://feed.example/query?start=' || range || '&max_results=100' AS source_url FROM range(0, 250, 100)")
+@query("""SELECT range AS start, 100 AS max_results, 'https://feed.example/query?start=' || range || '&max_results=100' AS source_url,
+'https://feed.example/query?search_query=cat%3Acs.AI&start=' || range || '&max_results=100&sortBy=submittedDate&sortOrder=descending' AS request_url FROM range(0, (SELECT count(*) FROM papers), 100)""")
 def feed_page_plan(spark: SparkSession, d: str) -> DataFrame:
-    return page_plan(spark, "https://feed.example/query", 250, 100)
+    """Requests for as many records as papers has."""
+    return page_plan(spark, "https://feed.example/query", table(spark, d, "papers").count(), 100, "cat:cs.AI")
 
 
 @query("""
@@ -100,38 +106,78 @@ def discovered_pages(spark: SparkSession, d: str) -> DataFrame:
     return discovered(rows.distinct(), "run", "start", "failed", "body").select("id", "run", "start")
 
 
-_CODE = "CASE api_status WHEN 'OK' THEN 200 WHEN 'NOT_FOUND' THEN 404 WHEN 'RATE_LIMITED' THEN 429 ELSE 500 END"
+# Half of the limited readings stand for a 429, the others for a 403 with or without requests left, by the first digit of the row's id.
+_CODE = "CASE api_status WHEN 'OK' THEN 200 WHEN 'NOT_FOUND' THEN 404 WHEN 'RATE_LIMITED' THEN CASE WHEN lower(id) < '8' THEN 429 ELSE 403 END ELSE 500 END"
 
 
 @query(f"""
 WITH log AS (SELECT DISTINCT id, {_url("repo_url")} AS k, stars_fetched_at AS t, {_CODE} AS code FROM github_repo_snapshots),
-o AS (SELECT *, CASE code WHEN 200 THEN 'OK' WHEN 404 THEN 'NOT_FOUND' WHEN 429 THEN 'retry:RATE_LIMITED' ELSE 'retry:ERROR' END AS o FROM log WHERE k IS NOT NULL),
+o AS (SELECT *, CASE WHEN code = 200 THEN 'OK' WHEN code = 404 THEN 'NOT_FOUND' WHEN code = 429 OR code = 403 AND lower(id) < 'c' THEN 'retry:RATE_LIMITED' WHEN code = 403 THEN 'ERROR' ELSE 'retry:ERROR' END AS o FROM log WHERE k IS NOT NULL),
 r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY t, o) AS n FROM o QUALIFY n <= 5),
 e AS (SELECT k, coalesce(min(CASE WHEN o NOT LIKE 'retry:%' THEN n END), max(n)) AS used FROM r GROUP BY k)
 SELECT k AS repo_url, used::INT AS attempts_used, replace(o, 'retry:', '') AS api_status, ((1 << (used - 1)::INT) - 1)::DOUBLE AS waited FROM e JOIN r USING (k) WHERE n = used""")
 def retry_fold(spark: SparkSession, d: str) -> DataFrame:
     """Each repository's readings as a log of attempts: the first final one of five, and the time waited."""
+    limited = F.when(F.lower("id") < "8", 429).otherwise(403)
     log = _once(table(spark, d, "github_repo_snapshots")).select(
-        F.explode(F.array(_canonical(F.col("repo_url")))).alias("repo_url"), "stars_fetched_at",
-        F.when(F.col("api_status") == "OK", 200).when(F.col("api_status") == "NOT_FOUND", 404).when(F.col("api_status") == "RATE_LIMITED", 429).otherwise(500).alias("code"),
+        F.explode(F.array(_canonical(F.col("repo_url")))).alias("repo_url"), "stars_fetched_at", F.when(F.lower("id") < "c", "0").otherwise("5").alias("remaining"),
+        F.when(F.col("api_status") == "OK", 200).when(F.col("api_status") == "NOT_FOUND", 404).when(F.col("api_status") == "RATE_LIMITED", limited).otherwise(500).alias("code"),
     )
-    return fold_attempts(log, "repo_url", "stars_fetched_at", repo_outcome(F.col("code"), F.lit(None).cast("string")))
+    return fold_attempts(log, "repo_url", "stars_fetched_at", repo_outcome(F.col("code"), F.col("remaining")))
+
+
+_TRIES = "SELECT id, http_status AS status, row_number() OVER (PARTITION BY source_url ORDER BY fetched_at, id) AS attempt FROM (SELECT DISTINCT id, source_url, fetched_at, http_status FROM fetch_observations)"
+
+
+def _tries(spark: SparkSession, d: str) -> DataFrame:
+    """Each fetch with its place among those of its URL, as if they were attempts of one request."""
+    once = table(spark, d, "fetch_observations").select("id", "source_url", "fetched_at", "http_status").distinct()
+    return once.select("id", F.col("http_status").alias("status"), F.row_number().over(Window.partitionBy("source_url").orderBy("fetched_at", "id")).cast("bigint").alias("attempt"))
 
 
-@query("SELECT range AS attempt, least(pow(2, range - 1), 60.0)::DOUBLE AS seconds FROM range(1, 11)")
+@query(f"SELECT id, attempt, least(pow(2, least(attempt, 20) - 1), 60.0)::DOUBLE AS seconds FROM ({_TRIES})")
 def backoff_plan(spark: SparkSession, d: str) -> DataFrame:
-    return spark.range(1, 11).select(F.col("id").alias("attempt"), backoff(F.col("id").cast("double")).alias("seconds"))
+    """The wait after each fetch of a URL, if they were attempts of one request."""
+    return _tries(spark, d).select("id", "attempt", backoff(F.col("attempt").cast("double")).alias("seconds"))
 
 
-@query("""
-WITH s AS (SELECT * FROM (VALUES (200), (413), (429), (500), (503)) t(status)), a AS (SELECT range AS attempt FROM range(1, 8)), h AS (SELECT * FROM (VALUES (NULL), ('7'), ('soon')) t(retry_after))
-SELECT status, attempt, retry_after, CASE WHEN status = 429 THEN least(CASE WHEN retry_after IS NULL THEN pow(2, attempt - 1) WHEN retry_after = '7' THEN 7 ELSE 2 END, 30)
-WHEN status >= 500 THEN least(pow(2, attempt - 1), 10) END::DOUBLE AS seconds FROM s, a, h""")
+@query(f"""
+WITH h AS (SELECT id, attempt, CASE WHEN lower(id) < '4' THEN 429 WHEN lower(id) < '8' THEN 503 ELSE coalesce(status, 500) END AS status, CASE WHEN lower(id) < '1' THEN '7' WHEN lower(id) < '2' THEN 'soon' END AS retry_after FROM ({_TRIES}))
+SELECT *, CASE WHEN status = 429 THEN least(CASE WHEN retry_after IS NULL THEN pow(2, least(attempt, 20) - 1) WHEN retry_after = '7' THEN 7 ELSE 2 END, 30)
+WHEN status >= 500 THEN least(pow(2, least(attempt, 20) - 1), 10) END::DOUBLE AS seconds FROM h""")
 def provider_backoff(spark: SparkSession, d: str) -> DataFrame:
-    """Waits of an extraction provider by status, attempt and what the server asks for."""
-    each = F.explode(F.array(*map(F.lit, (200, 413, 429, 500, 503)))).alias("status")
-    plan = spark.range(1, 8).select(F.col("id").alias("attempt"), each).select("attempt", "status", F.explode(F.array(F.lit(None).cast("string"), F.lit("7"), F.lit("soon"))).alias("retry_after"))
-    return plan.select("status", "attempt", "retry_after", provider_wait(F.col("status"), F.col("attempt").cast("double"), F.col("retry_after")).alias("seconds"))
+    """Waits of an extraction provider by status, attempt and what the server asks for; statuses and headers by the first digit of the row's id."""
+    i = F.lower("id")
+    plan = _tries(spark, d).select(
+        "id", "attempt", F.when(i < "4", 429).when(i < "8", 503).otherwise(F.coalesce("status", F.lit(500))).alias("status"), F.when(i < "1", "7").when(i < "2", "soon").alias("retry_after")
+    )
+    return plan.withColumn("seconds", provider_wait(F.col("status"), F.col("attempt").cast("double"), F.col("retry_after")))
+
+
+@query(f"""
+WITH t AS (SELECT t.*, o.source_url, coalesce(o.raw_payload.atom_xml, o.raw_payload.html) AS body FROM ({_TRIES}) t JOIN (SELECT DISTINCT ON (id) * FROM fetch_observations) o USING (id)),
+k AS (SELECT *, CASE WHEN status IS NULL THEN 'retry' WHEN status >= 400 THEN 'ERROR' ELSE 'OK' END AS o FROM t WHERE attempt <= 5),
+e AS (SELECT source_url, coalesce(min(attempt) FILTER (WHERE o <> 'retry'), max(attempt)) AS used FROM k GROUP BY 1)
+SELECT e.source_url AS url, used::INT AS attempts, CASE WHEN o = 'retry' THEN 'TIMEOUT' ELSE o END AS fetch_status, CASE WHEN o = 'OK' THEN status END AS http_status,
+       sha256(CASE WHEN o = 'OK' THEN coalesce(body, '') ELSE '' END) AS content_hash FROM e JOIN k ON e.source_url = k.source_url AND used = attempt""")
+def replayed_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Every URL asked for again, answered from its recorded fetches."""
+    rows = _once(table(spark, d, "fetch_observations")).select("id", F.col("source_url").alias("url"), F.coalesce("raw_payload.atom_xml", "raw_payload.html").alias("body"))
+    recorded = rows.join(_tries(spark, d), "id").select("url", "attempt", F.col("status").alias("http_status"), "body")
+    return replay_pages(rows.select("url").distinct(), recorded).select("url", "attempts", "fetch_status", "http_status", "content_hash")
+
+
+_RESERVED = ", ".join(f"'{o}'" for o in RESERVED_OWNERS)
+_OWNED = f"SELECT DISTINCT 'https://codeforge.example/' || CASE WHEN length(title) % 2 = 0 THEN list_extract([{_RESERVED}], 1 + length(title) % {len(RESERVED_OWNERS)}) ELSE 'o' || length(title) END || '/' || length(abstract) AS url FROM papers WHERE title IS NOT NULL AND abstract IS NOT NULL"
+
+
+@query(f"SELECT url, CASE WHEN regexp_extract(url, 'example/([^/]+)', 1) NOT IN ({_RESERVED}) THEN url END AS repo_url FROM ({_OWNED})")
+def reserved_owners(spark: SparkSession, d: str) -> DataFrame:
+    """Links of papers' lengths, half of them below names that the host keeps for itself, which are no repositories."""
+    n = F.length("title")
+    owner = F.when(n % 2 == 0, F.element_at(F.array(*map(F.lit, RESERVED_OWNERS)), 1 + n % len(RESERVED_OWNERS))).otherwise(F.concat(F.lit("o"), n))
+    urls = table(spark, d, "papers").where(F.col("title").isNotNull() & F.col("abstract").isNotNull()).select(F.concat(F.lit(f"https://{HOST}/"), owner, F.lit("/"), F.length("abstract")).alias("url")).distinct()
+    return urls.select("url", repo_url(F.col("url"), HOST).alias("repo_url"))
 
 
 @query(f"SELECT DISTINCT repo_url AS url, {_url('repo_url')} AS repo_url FROM paper_repo_links")
@@ -224,16 +270,18 @@ def claim_status(spark: SparkSession, d: str) -> DataFrame:
     return after.join(claimed.select("id", F.lit(True).alias("c")), "id", "left").select("id", "status", F.coalesce("c", F.lit(False)).alias("claimed"))
 
 
-_LATEST_RECORD = "SELECT DISTINCT ON (lower(paper_id)) lower(paper_id) AS k, export_payload.title AS title, validated_at FROM validated_records WHERE paper_id IS NOT NULL ORDER BY lower(paper_id), validated_at DESC, id DESC"
+_LATEST_RECORD = "SELECT DISTINCT ON (lower(paper_id)) lower(paper_id) AS k, export_payload.title AS title, export_payload.authors AS authors, export_payload.paper_url AS url, export_payload.published_date::TIMESTAMPTZ AS at, validated_at FROM validated_records WHERE paper_id IS NOT NULL ORDER BY lower(paper_id), validated_at DESC, id DESC"
 
 
-@query(f"SELECT p.id, CASE WHEN v.k IS NOT NULL THEN v.title ELSE p.title END AS title FROM papers p LEFT JOIN ({_LATEST_RECORD}) v ON lower(p.id) = v.k")
+@query(f"""SELECT p.id, abstract, CASE WHEN v.k IS NOT NULL THEN v.title ELSE p.title END AS title, array_to_string(CASE WHEN v.k IS NOT NULL THEN v.authors ELSE p.authors END, '; ') AS authors, CASE WHEN v.k IS NOT NULL THEN v.url ELSE canonical_url END AS canonical_url,
+CASE WHEN v.k IS NOT NULL THEN v.at ELSE published_date END AS published_date, CASE WHEN v.k IS NOT NULL THEN 'PARSED' ELSE status END AS status FROM papers p LEFT JOIN ({_LATEST_RECORD}) v ON lower(p.id) = v.k""")
 def mark_parsed(spark: SparkSession, d: str) -> DataFrame:
-    """Titles of papers overwritten, NULLs too, by those of their latest record."""
-    records = table(spark, d, "validated_records").where(F.col("paper_id").isNotNull()).select(F.lower("paper_id").alias("k"), F.col("export_payload.title").alias("title"), "validated_at", "id")
-    latest = R.latest_by(records, ["k"], F.col("validated_at"), F.col("id")).select("k", "title")
-    papers = table(spark, d, "papers").select("id", "title", F.lower("id").alias("k"))
-    return R.overwrite_fields(papers, latest, "k", ["title"]).select("id", "title")
+    """Papers' parsed fields overwritten, by NULLs too, by those of their latest record; those are PARSED then."""
+    payload = {"title": F.col("export_payload.title"), "authors": F.col("export_payload.authors"), "canonical_url": F.col("export_payload.paper_url"), "published_date": F.to_timestamp("export_payload.published_date"), "status": F.lit("PARSED")}
+    records = table(spark, d, "validated_records").where(F.col("paper_id").isNotNull()).select(F.lower("paper_id").alias("k"), *(c.alias(n) for n, c in payload.items()), "validated_at", "id")
+    latest = R.latest_by(records, ["k"], F.col("validated_at"), F.col("id")).drop("validated_at", "id")
+    papers = table(spark, d, "papers").select("id", "abstract", *payload, F.lower("id").alias("k"))
+    return R.overwrite_fields(papers, latest, "k", list(payload)).drop("k").withColumn("authors", F.array_join("authors", "; "))
 
 
 @query("SELECT id, CASE WHEN title IS NULL OR trim(title) = '' THEN 'FAILED' ELSE status END AS status, CASE WHEN title IS NULL OR trim(title) = '' THEN 'empty title' ELSE failure_reason END AS failure_reason FROM papers")
@@ -282,9 +330,29 @@ def mark_selected_link(spark: SparkSession, d: str) -> DataFrame:
     return mark_selected(_once(table(spark, d, "paper_repo_links").select("id", "paper_id")), _chosen(spark, d)).select("id", "is_selected")
 
 
-@query("SELECT lower(paper_id) AS paper_id, count(DISTINCT id) AS n FROM paper_repo_links WHERE is_selected GROUP BY 1 HAVING count(DISTINCT id) > 1")
+@query("SELECT lower(paper_id) AS paper_id, count(DISTINCT id) AS n FROM paper_repo_links WHERE is_selected OR evidence_strength = 1 GROUP BY 1 HAVING count(DISTINCT id) > 1")
 def links_selected_twice(spark: SparkSession, d: str) -> DataFrame:
-    return selected_twice(table(spark, d, "paper_repo_links").withColumn("paper_id", F.lower("paper_id")))
+    """The rule of one selected link, held against a selection of all of the strongest kind."""
+    links = table(spark, d, "paper_repo_links").select("id", F.lower("paper_id").alias("paper_id"), (F.col("is_selected") | (F.col("evidence_strength") == 1)).alias("is_selected"))
+    return selected_twice(links)
+
+
+@query("SELECT id, lower(paper_id) AS paper_id, evidence_strength, row_number() OVER (PARTITION BY lower(paper_id) ORDER BY evidence_strength, id) AS candidate_no FROM (SELECT DISTINCT id, paper_id, evidence_strength FROM paper_repo_links WHERE paper_id IS NOT NULL)")
+def ordered_candidates(spark: SparkSession, d: str) -> DataFrame:
+    """Each paper's candidates, the strongest evidence first."""
+    return R.ordered_candidates(table(spark, d, "paper_repo_links").select("id", "paper_id", "evidence_strength")).withColumn("paper_id", F.lower("paper_id"))
+
+
+@query("SELECT lower(paper_id) AS paper_id, min(id) AS id, arg_min(repo_url, id) AS repo_url, arg_min(evidence_type, id) AS evidence_type FROM paper_repo_links WHERE is_selected AND paper_id IS NOT NULL GROUP BY 1")
+def selected_link(spark: SparkSession, d: str) -> DataFrame:
+    return R.selected_links(table(spark, d, "paper_repo_links").select("id", "paper_id", "repo_url", "evidence_type", "is_selected")).select(F.lower("paper_id").alias("paper_id"), "id", "repo_url", "evidence_type")
+
+
+@query("SELECT id, evidence_strength, is_selected, count(*) AS n_rows FROM (SELECT id, evidence_type, is_selected, evidence_strength FROM paper_repo_links UNION ALL SELECT id, evidence_type, NULL, NULL FROM paper_repo_links) GROUP BY ALL")
+def append_links(spark: SparkSession, d: str) -> DataFrame:
+    """Candidates appended again without their strength and mark, which are NULL then; nothing is deduplicated."""
+    links = table(spark, d, "paper_repo_links").select("id", "evidence_type", "is_selected", "evidence_strength")
+    return R.append(links, links.select("id", "evidence_type")).groupBy("id", "evidence_strength", "is_selected").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
 _LATEST = f"SELECT DISTINCT ON (k) k, id, api_status, exists_verified, stargazers_count, stars_fetched_at FROM (SELECT *, {_url('repo_url')} AS k FROM github_repo_snapshots) WHERE k IS NOT NULL ORDER BY k, stars_fetched_at DESC, id DESC"
@@ -298,23 +366,30 @@ def latest_snapshot(spark: SparkSession, d: str) -> DataFrame:
 
 @query(f"""
 SELECT DISTINCT p.id, l.repo_url, p.first_seen_at FROM papers p JOIN paper_repo_links l ON lower(p.id) = lower(l.paper_id) AND l.is_selected
-WHERE p.status = 'RESOLVED' AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT {_url("repo_url")} AS k FROM github_repo_snapshots) s WHERE s.k = {_url("l.repo_url")})""")
+WHERE p.status = 'RESOLVED' AND NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT {_url("repo_url")} AS k FROM github_repo_snapshots WHERE stars_fetched_at < TIMESTAMPTZ '{EARLY}+00') s WHERE s.k = {_url("l.repo_url")})""")
 def unverified_repositories(spark: SparkSession, d: str) -> DataFrame:
-    return R.unverified(*(table(spark, d, t) for t in ("papers", "paper_repo_links", "github_repo_snapshots")), _canonical(F.col("repo_url")))
+    """What was still to be looked up at an early moment."""
+    snapshots = table(spark, d, "github_repo_snapshots").where(F.col("stars_fetched_at") < F.lit(EARLY).cast("timestamp"))
+    return R.unverified(table(spark, d, "papers"), table(spark, d, "paper_repo_links"), snapshots, _canonical(F.col("repo_url")))
+
+
+_FIELDS = ", ".join(f'"{f}"' for f in EXPORT_FIELDS)
+_PAYLOAD = ", ".join(f"""array_to_string(export_payload.authors, '; ') AS authors""" if f == "authors" else f'export_payload."{f}" AS "{f}"' for f in EXPORT_FIELDS)
 
 
 @query(f"""
-WITH r AS (SELECT DISTINCT id, lower(paper_id) AS paper_id, validated_at, exported_at FROM validated_records WHERE paper_id IS NOT NULL),
-new AS (SELECT DISTINCT ON (paper_id) paper_id, validated_at, NULL::TIMESTAMPTZ AS exported_at FROM r WHERE validated_at >= TIMESTAMPTZ '{SPLIT}+00' ORDER BY paper_id, validated_at DESC, id DESC),
-old AS (SELECT DISTINCT ON (paper_id) paper_id, validated_at, exported_at FROM r WHERE validated_at < TIMESTAMPTZ '{SPLIT}+00' ORDER BY paper_id, validated_at DESC, id DESC)
+WITH r AS (SELECT DISTINCT ON (id, validated_at) id, lower(paper_id) AS paper_id, validated_at, exported_at, {_PAYLOAD} FROM validated_records WHERE paper_id IS NOT NULL ORDER BY id),
+new AS (SELECT DISTINCT ON (paper_id) paper_id, validated_at, NULL::TIMESTAMPTZ AS exported_at, {_FIELDS} FROM r WHERE validated_at >= TIMESTAMPTZ '{SPLIT}+00' ORDER BY paper_id, validated_at DESC, id DESC),
+old AS (SELECT DISTINCT ON (paper_id) paper_id, validated_at, exported_at, {_FIELDS} FROM r WHERE validated_at < TIMESTAMPTZ '{SPLIT}+00' ORDER BY paper_id, validated_at DESC, id DESC)
 SELECT * FROM new UNION ALL SELECT * FROM old WHERE paper_id NOT IN (SELECT paper_id FROM new)""")
 def upsert_validated(spark: SparkSession, d: str) -> DataFrame:
     """Records of before a moment, then those of after it in their place, not exported yet."""
-    rows = table(spark, d, "validated_records").where(F.col("paper_id").isNotNull()).select("id", F.lower("paper_id").alias("paper_id"), "validated_at", "exported_at")
+    rows = table(spark, d, "validated_records").where(F.col("paper_id").isNotNull()).select("id", F.lower("paper_id").alias("paper_id"), "validated_at", "exported_at", "export_payload")
     late = F.col("validated_at") >= F.lit(SPLIT).cast("timestamp")
     old = R.latest_by(rows.where(~late), ["paper_id"], F.col("validated_at"), F.col("id"))
     new = rows.where(late).withColumn("exported_at", F.lit(None).cast("timestamp"))
-    return R.last_writer_wins(old, new, ["paper_id"], "validated_at").select("paper_id", "validated_at", "exported_at")
+    after = R.last_writer_wins(old, new, ["paper_id"], "validated_at").select("paper_id", "validated_at", "exported_at", "export_payload.*")
+    return after.withColumn("authors", F.array_join("authors", "; "))
 
 
 @query("SELECT DISTINCT id, validated_at FROM validated_records WHERE exported_at IS NULL ORDER BY validated_at, id LIMIT 100")
@@ -329,15 +404,18 @@ def mark_exported(spark: SparkSession, d: str) -> DataFrame:
     return R.set_for_ids(rows, rows.where(F.col("exported_at").isNull()), "id", exported_at=F.lit(RUN_AT).cast("timestamp"))
 
 
-_SHEET = """SELECT DISTINCT id, coalesce(export_payload.title, '') AS title, coalesce(array_to_string(export_payload.authors, '; '), '') AS authors, coalesce(export_payload.github_url, '') AS github_url,
-coalesce(export_payload.github_stars::VARCHAR, '') AS github_stars, coalesce(export_payload.published_date, '') AS published_date, validated_at FROM validated_records"""
+_SHEET = "SELECT DISTINCT id, validated_at, " + ", ".join(f"coalesce(array_to_string(export_payload.authors, '; '), '') AS authors" if f == "authors" else f"coalesce(export_payload.\"{f}\"::VARCHAR, '') AS \"{f}\"" for f in EXPORT_FIELDS) + " FROM validated_records"
 
 
 @query(f"WITH s AS ({_SHEET}) SELECT * EXCLUDE validated_at, floor(row_number() OVER (ORDER BY validated_at, id) / 500)::INT AS chunk FROM s")
 def export_rows(spark: SparkSession, d: str) -> DataFrame:
     """The sheet of all records and the request that carries each row."""
     rows = sheet_rows(_once(table(spark, d, "validated_records").select("id", "validated_at", "export_payload.*")))
-    return chunked(rows, ["validated_at", "id"]).select("id", "title", "authors", "github_url", "github_stars", "published_date", "chunk")
+    return chunked(rows, ["validated_at", "id"]).select("id", *EXPORT_FIELDS, "chunk")
+
+
+def _iso(column: str) -> str:
+    return f"replace(strftime({column} AT TIME ZONE 'UTC', '%Y-%m-%dT%H:%M:%S.%f+00:00'), '.000000+', '+')"
 
 
 def _blank(column: str) -> str:
@@ -356,11 +434,12 @@ def _exports(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
 
 @query(f"""
 WITH {_GATED}
-SELECT p.id AS paper_id, CASE WHEN ok THEN l.repo_url END AS github_url, CASE WHEN ok THEN stargazers_count END AS github_stars, CASE WHEN ok THEN evidence_type END AS github_evidence_type,
-'2025-03-01T00:00:00+00:00' AS "collectedAt", array_to_string(authors, '; ') AS authors
+SELECT p.id AS paper_id, '1.0' AS "schemaVersion", 'RESEARCH_PAPER' AS "recordType", 'arxiv' AS source_name, canonical_url AS source_url, canonical_url AS paper_url, title, CASE WHEN ok THEN l.repo_url END AS github_url,
+CASE WHEN ok THEN stargazers_count END AS github_stars, CASE WHEN ok THEN evidence_type END AS github_evidence_type, '2025-03-01T00:00:00+00:00' AS "collectedAt", array_to_string(authors, '; ') AS authors,
+{_iso("published_date")} AS published_date, CASE WHEN ok THEN {_iso("stars_fetched_at")} END AS github_stars_fetched_at
 FROM (SELECT *, {_REASON} AS reason FROM papers) p LEFT JOIN l ON lower(p.id) = l.p LEFT JOIN (SELECT *, exists_verified AND api_status = 'OK' AS ok FROM s) s ON l.k = s.k WHERE reason IS NULL""")
 def validate_exports(spark: SparkSession, d: str) -> DataFrame:
-    return _exports(spark, d)[0].select("paper_id", "github_url", "github_stars", "github_evidence_type", "collectedAt", F.array_join("authors", "; ").alias("authors"))
+    return _exports(spark, d)[0].withColumn("authors", F.array_join("authors", "; "))
 
 
 @query(f"SELECT id AS paper_id, {_REASON} AS reason FROM papers WHERE ({_REASON}) IS NOT NULL")
@@ -368,6 +447,34 @@ def validate_rejects(spark: SparkSession, d: str) -> DataFrame:
     return _exports(spark, d)[1]
 
 
+@query(f"SELECT id AS paper_id, CASE {_REASON} WHEN 'missing arxiv_id' THEN 'ParsedPaper validation failed: arxiv_id must not be empty' WHEN 'no authors' THEN 'ParsedPaper validation failed: authors must not be empty' ELSE 'empty title' END AS reason FROM papers WHERE ({_REASON}) IS NOT NULL")
+def stage_failures(spark: SparkSession, d: str) -> DataFrame:
+    """Papers that the validation stage fails, in its own words."""
+    return table(spark, d, "papers").select(F.col("id").alias("paper_id"), reject_reason(stage=True).alias("reason")).where(F.col("reason").isNotNull())
+
+
+def _unique(name: str, column: str, where: str = "true", rule: str = "") -> str:
+    key = f"lower({column})" if column.endswith("id") else column
+    return f"SELECT '{name}' AS table_name, 'unique ({column}){rule}' AS rule, count(*) AS n_keys FROM (SELECT {key} FROM (SELECT DISTINCT * FROM {name} WHERE {where}) WHERE {column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+
+
+def _referring(name: str, column: str, target: str) -> str:
+    return f"SELECT '{name}', '{column} in {target}', count(DISTINCT lower({column})) FROM {name} WHERE lower({column}) NOT IN (SELECT lower(id) FROM {target})"
+
+
+_KEY_RULES = [_unique(t, "id") for t in ("papers", "fetch_observations", "paper_repo_links", "github_repo_snapshots", "validated_records")] + [
+    _unique("papers", "arxiv_id"), _unique("validated_records", "paper_id"), _unique("paper_repo_links", "paper_id", "is_selected", " where is_selected"),
+    "SELECT 'paper_fetch_observations', 'unique (paper_id, fetch_observation_id)', count(*) FROM (SELECT lower(paper_id), lower(fetch_observation_id) FROM (SELECT DISTINCT * FROM paper_fetch_observations) WHERE paper_id IS NOT NULL AND fetch_observation_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1)",
+    *(_referring(t, "paper_id", "papers") for t in ("fetch_observations", "paper_repo_links", "validated_records", "paper_fetch_observations")), _referring("paper_fetch_observations", "fetch_observation_id", "fetch_observations"),
+]
+
+
+@query(" UNION ALL ".join(_KEY_RULES))
+def key_checks(spark: SparkSession, d: str) -> DataFrame:
+    """How many keys break each rule of uniqueness and reference."""
+    return key_violations({t: table(spark, d, t) for t in ("papers", "fetch_observations", "paper_repo_links", "github_repo_snapshots", "validated_records", "paper_fetch_observations")})
+
+
 @query("SELECT id, CASE WHEN title IS NULL THEN 'skipped' ELSE 'parsed' END AS status, json_object('status', status, 'failure_reason', failure_reason) AS detail FROM papers")
 def log_events(spark: SparkSession, d: str) -> DataFrame:
     papers = table(spark, d, "papers").select("id", "title", F.col("status").alias("s"), "failure_reason").withColumnRenamed("s", "status")
