@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.text import collapse_space, content_hash, feed_id, feed_time, iso_text
 from ledgerline.functions.urls import RESERVED_OWNERS, owner_and_repo, repo_url
-from ledgerline.grounding.checks import EXTRACTION, decode, ground
+from ledgerline.grounding.checks import BAD_CLAIM_QUOTE, BAD_QUOTE, EXTRACTION, NO_CLAIM, NO_QUOTE, NO_VALUE, decode, ground
 from ledgerline.grounding.pipeline import route
 from ledgerline.operators import relational as R
 from ledgerline.operators.associate import mark_selected, select_primary, selected_twice
 from ledgerline.operators.skew import salted_lookup
 from ledgerline.operators.validate import build_exports, reject_reason
-from ledgerline.plans.core_queries import _url
+from ledgerline.plans.core_queries import AUTHORS_SQL, FEEDS_SQL, _url, xml_text
 from ledgerline.schemas import EXPORT_FIELDS, evidence_strength, key_violations, violation
 from ledgerline.session import table
 from ledgerline.sources.attempts import backoff, fold_attempts, provider_wait, repo_outcome
@@ -46,6 +46,13 @@ def query(sql: str | None = None):
     return register
 
 
+_SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+
+def _collapsed(c: str) -> str:
+    return f"regexp_replace(regexp_replace({c}, '{_SPACES}', ' ', 'g'), '^ | $', '', 'g')"
+
+
 def _canonical(c: Column) -> Column:
     return repo_url(c, HOST, reserved=())
 
@@ -57,7 +64,28 @@ def _once(df: DataFrame) -> DataFrame:
 # Sources
 
 
-@query()
+# Links of article pages as text, for what the tables hold: a container runs to its own end tag, or to the end of a cut page.
+_SHOWN = r"regexp_replace({0}, '(?s)<script.*?</script>|<style.*?</style>|<!--.*?-->', '', 'g')"
+_ANCHOR = r"""(?s)<a [^>]*href="[^"]*"[^>]*>.*?(?:</a>|$)"""
+_HREF = """replace(regexp_extract(a, 'href="([^"]*)"', 1), '&amp;', '&')"""
+
+
+def _boxes(order: int, tag: str, classes: str) -> str:
+    return rf"""SELECT id, {order} AS o, unnest(regexp_extract_all(h, '(?s)<{tag} class="{classes}">(.*?)(?:</{tag}>|$)', 1)) AS box, '{tag}.{classes.replace(" ", ".")}' AS name FROM pages"""
+
+
+_LINKS = f"""
+WITH pages AS (SELECT DISTINCT id, {_SHOWN.format("raw_payload.html")} AS h FROM fetch_observations WHERE raw_payload.html IS NOT NULL),
+boxes AS ({_boxes(0, "blockquote", "abstract")} UNION ALL {_boxes(1, "td", "tablecell comments")} UNION ALL {_boxes(2, "td", "tablecell jref")}),
+anchors AS (SELECT id, o, name, regexp_extract_all(box, '{_ANCHOR}') AS all_ FROM boxes),
+links AS (SELECT id, o, name, unnest(all_) AS a, unnest(range(len(all_))) AS n FROM anchors),
+found AS (SELECT id AS page_id, o, n, name, {_url(_HREF)} AS repo_url, nullif(trim(regexp_replace(a, '<[^>]*>', '', 'g')), '') AS text FROM links),
+first AS (SELECT DISTINCT ON (page_id, repo_url) * FROM found WHERE repo_url IS NOT NULL ORDER BY page_id, repo_url, o, n),
+candidates AS (SELECT page_id, repo_url, '<a> in ' || name || coalesce(', text=' || chr(39) || text || chr(39), '') AS evidence_locator, text AS evidence_text FROM first)"""
+
+
+@query(f"""{_LINKS}, c AS (SELECT page_id, count(*) AS n_best, count(*) FILTER (WHERE contains(lower(evidence_locator), 'official')) AS n_official, min(repo_url) AS one, min(repo_url) FILTER (WHERE contains(lower(evidence_locator), 'official')) AS official FROM candidates GROUP BY 1)
+SELECT page_id, n_best, n_official, CASE WHEN n_best = 1 THEN one WHEN n_official = 1 THEN official END AS repo_url FROM c""")
 def selected_repository(spark: SparkSession, d: str) -> DataFrame:
     """Links in the containers of article pages, and the repository chosen for each page."""
     pages = table(spark, d, "fetch_observations").select("id", "source_url", F.col("raw_payload.html").alias("html"), "fetched_at")
@@ -66,19 +94,27 @@ def selected_repository(spark: SparkSession, d: str) -> DataFrame:
     return chosen.select("page_id", "n_best", "n_official", F.col("selected").alias("repo_url"))
 
 
-@query()
+@query(f"{_LINKS} SELECT * FROM candidates")
 def extract_links(spark: SparkSession, d: str) -> DataFrame:
     pages = table(spark, d, "fetch_observations").select("id", "source_url", F.col("raw_payload.html").alias("html"), "fetched_at")
     return link_candidates(anchors(pages, "id", "source_url", "html", "fetched_at"), HOST, ()).select("page_id", "repo_url", "evidence_locator", "evidence_text")
 
 
-@query()
+_JUDGED = f"""
+WITH {FEEDS_SQL}, {AUTHORS_SQL}, names AS (SELECT record_id, entry_no, string_agg(name, '; ' ORDER BY author_no) AS authors FROM authors GROUP BY ALL),
+parts AS (SELECT record_id, entry_no, authors, nullif(trim(regexp_extract({xml_text("e", "id")}, 'abs/([^v]+)', 1)), '') AS arxiv_id, {xml_text("e", "title")} AS title, {xml_text("e", "summary")} AS summary, nullif({xml_text("e", "published")}, '') AS published
+          FROM entries LEFT JOIN names USING (record_id, entry_no)),
+judged AS (SELECT *, try_strptime(published, '%Y-%m-%dT%H:%M:%SZ') AT TIME ZONE 'UTC' AS day FROM parts),
+told AS (SELECT *, CASE WHEN arxiv_id IS NULL THEN 'no id' WHEN coalesce(title, '') = '' THEN 'no title' WHEN authors IS NULL THEN 'no authors' WHEN published IS NOT NULL AND day IS NULL THEN 'bad date' END AS reason FROM judged)"""
+
+
+@query(f"{_JUDGED} SELECT record_id, entry_no, arxiv_id, 'https://paperhub.example/abs/' || arxiv_id AS canonical_url, {_collapsed('title')} AS title, authors, {_collapsed('summary')} AS abstract, day AS published_date FROM told WHERE reason IS NULL")
 def feed_records(spark: SparkSession, d: str) -> DataFrame:
     papers, _ = feed_papers(table(spark, d, "fetch_observations"), "id", "raw_payload.atom_xml", "https://paperhub.example/abs/")
     return papers.withColumn("authors", F.array_join("authors", "; "))
 
 
-@query()
+@query(f"{_JUDGED} SELECT record_id, entry_no, reason FROM told WHERE reason IS NOT NULL")
 def feed_rejects(spark: SparkSession, d: str) -> DataFrame:
     return feed_papers(table(spark, d, "fetch_observations"), "id", "raw_payload.atom_xml")[1]
 
@@ -197,9 +233,6 @@ def feed_ids(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "papers").select("canonical_url", feed_id(F.col("canonical_url")).alias("record")).distinct()
 
 
-_SPACES = r"[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
-
-
 @query(rf"""SELECT id, regexp_replace(regexp_replace(title, '{_SPACES}', ' ', 'g'), '^ | $', '', 'g') AS title,
 regexp_replace(regexp_replace(abstract, '{_SPACES}', ' ', 'g'), '^ | $', '', 'g') AS abstract FROM papers""")
 def whitespace_collapse(spark: SparkSession, d: str) -> DataFrame:
@@ -529,3 +562,28 @@ def ground_results(spark: SparkSession, d: str) -> DataFrame:
     first = decode(F.get_json_object("result_json", "$.gemini.result"), EXTRACTION)
     held = rows.select("result_id", F.coalesce(F.array_join(first["evidence_quotes"], " "), F.lit("")).alias("evidence"), decode(F.get_json_object("result_json", "$.final_extraction"), EXTRACTION).alias("x"))
     return ground(held, "evidence", "x").select("result_id", "validation_status", F.array_join("validation_errors", "\n").alias("errors"))
+
+
+_CASES = """SELECT doc_id, text AS t, source, lang, substr(text, 1, 20) AS q1, upper(substr(text, 5, 15)) AS q2, substr(text, 3, 12) AS k1, CASE WHEN n_chars % 3 > 0 THEN lower(substr(text, 1, 10)) END AS k2,
+coalesce(lang = 'en', false) AS s1, n_chars % 2 = 0 AS s2, CASE WHEN n_chars % 7 > 0 THEN n_chars % 5 = 0 END AS remote FROM documents"""
+
+
+@query(f"""
+WITH c AS ({_CASES}), l AS (SELECT doc_id, [
+  CASE WHEN q1 IS NOT NULL AND NOT coalesce(contains(t, q1), false) THEN '{BAD_QUOTE}' || q1 END, CASE WHEN q2 IS NOT NULL AND NOT coalesce(contains(t, q2), false) THEN '{BAD_QUOTE}' || q2 END,
+  CASE WHEN k1 IS NULL AND s1 THEN '{NO_QUOTE}company' END, CASE WHEN k1 IS NOT NULL AND NOT contains(t, k1) THEN '{BAD_CLAIM_QUOTE}company' END, CASE WHEN k1 IS NOT NULL AND s1 AND source IS NULL THEN '{NO_VALUE}company' END,
+  CASE WHEN k2 IS NULL AND s2 THEN '{NO_QUOTE}is_remote' END, CASE WHEN k2 IS NOT NULL AND NOT contains(t, k2) THEN '{BAD_CLAIM_QUOTE}is_remote' END, CASE WHEN k2 IS NOT NULL AND s2 THEN '{NO_VALUE}is_remote' END,
+  CASE WHEN source IS NOT NULL AND NOT s1 THEN '{NO_CLAIM}company' END, CASE WHEN lang IS NOT NULL THEN '{NO_CLAIM}role_family' END, CASE WHEN remote IS NOT NULL AND NOT s2 THEN '{NO_CLAIM}is_remote' END] AS all_ FROM c),
+e AS (SELECT doc_id, list_filter(all_, lambda x: x IS NOT NULL) AS errors FROM l)
+SELECT doc_id, CASE WHEN len(errors) = 0 THEN 'VALIDATED' ELSE 'QUARANTINE' END AS validation_status, array_to_string(errors, chr(10)) AS errors FROM e""")
+def ground_documents(spark: SparkSession, d: str) -> DataFrame:
+    """Extractions made of each document's source, language and length, with quotes of its text verbatim and altered, held against the text: every rule of grounding."""
+    t, n = F.col("text"), F.col("n_chars")
+    none = F.lit(None).cast("string")
+    claim = lambda name, value, quote, ok: F.struct(F.lit(name).alias("field"), value.alias("value"), quote.alias("evidence_quote"), ok.alias("supported"))
+    x = F.struct(
+        F.col("source").alias("company"), F.col("lang").alias("role_family"), F.when(n % 7 > 0, n % 5 == 0).alias("is_remote"), none.alias("summary"), F.array(F.substring(t, 1, 20), F.upper(F.substring(t, 5, 15))).alias("evidence_quotes"),
+        F.array(claim("company", F.col("source"), F.substring(t, 3, 12), F.col("lang") == "en"), claim("is_remote", none, F.when(n % 3 > 0, F.lower(F.substring(t, 1, 10))), n % 2 == 0)).alias("claims"),
+    )
+    held = ground(table(spark, d, "documents").select("doc_id", "text", x.alias("x")), "text", "x")
+    return held.select("doc_id", "validation_status", F.array_join("validation_errors", "\n").alias("errors"))
