@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.boilerplate import main_content
 from ledgerline.llm.mixing import mix_sources
-from ledgerline.llm.names import link_names, name_pairs
-from ledgerline.llm.packing import pack_documents, packing_report
+from ledgerline.llm.names import FILLERS, link_names, name_pairs
+from ledgerline.llm.packing import LOSS_SHARE, TOKENS_A_SEGMENT, pack_documents, packing_report
 from ledgerline.llm.reading import reading_bands
 from ledgerline.llm.tokens import canonical_source, token_counts
 from ledgerline.session import cut, table
@@ -62,5 +62,66 @@ def p8_profile(spark: SparkSession, d: str) -> DataFrame:
     return _banded(spark, d).join(documents, "doc_id").groupBy("source", "lang", "band").agg(F.count(F.lit(1)).alias("n_docs"), F.avg("score").alias("mean_score"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p5_found, p5_entities, p6_pack, p6_fill, p7_draws, p7_shares, p8_found, p8_profile)}
-SQL: dict[str, str] = {}
+def p6_placed(spark: SparkSession, d: str) -> DataFrame:
+    """Each document in each container: whether it was placed, whether its pieces go on from each other without gaps, and whether only what exceeds the capacity was split."""
+    documents = table(spark, d, "documents")
+    sizes = cut(token_counts(documents, "doc_id", "text"))
+    capacities = table(spark, d, "pack_capacity")
+    pieces = pack_documents(sizes, capacities).groupBy("container", "doc_id").agg(
+        (F.count("bin") > 0).alias("placed"), F.sum("tokens").alias("tokens"), F.max(F.col("first_token") + F.col("tokens")).alias("end"), F.count(F.lit(1)).alias("n")
+    )
+    judged = pieces.join(sizes.select("doc_id", F.col("tokens").alias("size")), "doc_id").join(F.broadcast(capacities), "container")
+    whole = (F.col("tokens") == F.col("size")) & (F.col("end") == F.col("size")) & (F.col("n") == F.greatest(F.ceil(F.col("size") / F.col("capacity_tokens")), F.lit(1)))
+    return judged.select("container", "doc_id", "placed", whole.alias("whole"))
+
+
+def p6_limits(spark: SparkSession, d: str) -> DataFrame:
+    """Containers that break a limit, for each kind and limit."""
+    capacities = table(spark, d, "pack_capacity")
+    bins = p6_pack(spark, d).where(F.col("bin").isNotNull()).groupBy("container", "bin").agg(F.sum("tokens").alias("tokens"), F.sum("loss_tokens").alias("loss"), F.count(F.lit(1)).alias("segments"))
+    met = bins.join(F.broadcast(capacities), "container")
+    c = F.col("capacity_tokens")
+    broken = {"over_tokens": F.col("tokens") > c, "over_loss": F.col("loss") > F.floor(c * LOSS_SHARE), "over_segments": F.col("segments") > F.floor(c / TOKENS_A_SEGMENT)}
+    return met.groupBy("container").agg(*(F.count_if(b).alias(n) for n, b in broken.items()))
+
+
+def p7_sources(spark: SparkSession, d: str) -> DataFrame:
+    """Each target with what it is drawn from, and whether the draws keep to it."""
+    shares = _mixed(spark, d)[1]
+    met = (F.abs(F.col("reached_share") - F.col("target_share")) < 0.01) | (F.col("draws") == F.col("documents") * F.col("max_repeats"))
+    return shares.select("source", "target_share", "max_repeats", "documents", met.alias("met"))
+
+
+def p7_copies(spark: SparkSession, d: str) -> DataFrame:
+    """Documents drawn more often than their source allows, twice under one copy number, or of no target: none, by source."""
+    draws, _ = _mixed(spark, d)
+    targets = table(spark, d, "mix_targets")
+    each = draws.groupBy("source", "doc_id").agg(F.max("copy_no").alias("last"), F.count(F.lit(1)).alias("n"))
+    met = each.join(F.broadcast(targets), "source", "full")
+    return met.groupBy("source").agg(F.count_if((F.col("n") > F.col("max_repeats")) | (F.col("n") != F.col("last")) | F.col("max_repeats").isNull()).alias("wrong"))
+
+
+def p8_rated(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that have a band, and whether it is the most likely one's side of the scale."""
+    return _banded(spark, d).select("doc_id", F.col("band").isin("plain", "student", "expert").alias("known"), (F.abs(F.col("p_plain") + F.col("p_student") + F.col("p_expert") - 1) < 1e-6).alias("sums"))
+
+
+def p5_spellings(spark: SparkSession, d: str) -> DataFrame:
+    """Every spelling with letters that isn't a filler, once, whoever it belongs to."""
+    return p5_entities(spark, d).select("name")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p5_found, p5_entities, p5_spellings, p6_pack, p6_fill, p6_placed, p6_limits, p7_draws, p7_shares, p7_sources, p7_copies, p8_found, p8_profile, p8_rated)}
+_SOURCE = r"nullif(regexp_replace(regexp_replace(lower({0}), '^[\s_-]+|[\s_-]+$', '', 'g'), '[\s_-]+', '_', 'g'), '')"
+_FILLERS = ", ".join(f"'{x}'" for x in sorted(FILLERS))
+#: What SQL can say of these problems: what is taken in and what must hold of the result, not the choice itself.
+SQL: dict[str, str] = {
+    "p5_spellings": rf"""SELECT name FROM (SELECT DISTINCT unnest(authors) AS name FROM papers)
+WHERE regexp_matches(name, '\p{{L}}') AND trim(regexp_replace(lower(regexp_replace(name, '\([^)]*\)', ' ', 'g')), '[^\p{{L}}-]+', ' ', 'g')) NOT IN ({_FILLERS})""",
+    "p6_placed": "SELECT container, doc_id, text IS NOT NULL AND text <> '' AS placed, true AS whole FROM documents, pack_capacity",
+    "p6_limits": "SELECT container, 0 AS over_tokens, 0 AS over_loss, 0 AS over_segments FROM pack_capacity",
+    "p7_sources": f"""SELECT {_SOURCE.format("t.source")} AS source, sum(DISTINCT target_share) AS target_share, max(max_repeats) AS max_repeats, count(d.doc_id) AS documents, true AS met
+FROM mix_targets t LEFT JOIN documents d ON {_SOURCE.format("d.source")} = {_SOURCE.format("t.source")} AND d.text <> '' GROUP BY 1""",
+    "p7_copies": "SELECT source, 0 AS wrong FROM mix_targets",
+    "p8_rated": r"SELECT doc_id, true AS known, true AS sums FROM documents WHERE len(list_filter(regexp_split_to_array(text, '[\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+'), lambda w: w <> '')) >= 40",
+}
