@@ -19,11 +19,12 @@ def poisson_steps(rate: float, most: int) -> list[float]:
     """F(0) .. F(most - 1) of the Poisson distribution: a document with seed u is drawn as often as steps lie below u."""
     if math.isinf(rate):
         return [0.0] * most
-    term, total, steps = math.exp(-rate), 0.0, []
-    for k in range(most):
-        total += term
+    if rate <= 0:
+        return [1.0] * most
+    total, steps = 0.0, []
+    for k in range(most):  # by logarithms, as the first terms of a high rate are too small for a number
+        total += math.exp(k * math.log(rate) - rate - math.lgamma(k + 1))
         steps.append(min(total, 1.0))
-        term *= rate / (k + 1)
     return steps
 
 
@@ -46,8 +47,8 @@ def _fit(mass: np.ndarray, target: float, most: int) -> tuple[float, float]:
     low, high = 0.0, 1.0
     while drawn(high) < target:
         low, high = high, high * 2
-        if high > 700:
-            return math.inf, 0.0
+        if high > 1e9:  # all copies of all documents but for rounding
+            return math.inf, abs(float(mass.sum()) * most - target)
     for _ in range(60):
         middle = (low + high) / 2
         low, high = (middle, high) if drawn(middle) < target else (low, middle)
@@ -109,14 +110,16 @@ def mix_sources(sizes: DataFrame, targets: DataFrame, seed: int = 0) -> tuple[Da
     report = spark.createDataFrame([(r["source"], float(r["share"] or 0), int(r["most"] or 0), documents[r["source"]], int(mass[r["source"]].sum()), total, rates[r["source"]] if math.isfinite(rates[r["source"]]) else None) for r in wanted], "source string, target_share double, max_repeats int, documents bigint, document_tokens bigint, total_tokens bigint, rate double")
     if not names:
         return known.select("source", "doc_id", F.lit(1).alias("copy_no"), "tokens", F.lit(0).cast("bigint").alias("shuffle_key")).limit(0), report.withColumns({"draws": F.lit(0), "drawn_tokens": F.lit(0), "reached_share": F.lit(0.0), "share_of_drawn": F.lit(0.0)})
-    case = None
-    for name in names:
-        below = F.size(F.filter(F.array(*map(F.lit, steps[name])), lambda s: (F.pmod(F.col("seed") + turns[name], F.lit(SEEDS)) + 0.5) / SEEDS > s)) if steps[name] else F.lit(0)
-        case = F.when(F.col("source") == name, below) if case is None else case.when(F.col("source") == name, below)
-    drawn = known.withColumn("times", case).where(F.col("times") > 0)
+    # One row a target: its turn of the seeds and its distribution's steps.
+    known_steps = F.broadcast(spark.createDataFrame([(name, turns[name], steps[name]) for name in names], "source string, turn int, steps array<double>"))
+    turned = (F.pmod(F.col("seed") + F.col("turn"), F.lit(SEEDS)) + 0.5) / SEEDS
+    drawn = known.join(known_steps, "source").withColumn("__u", turned).withColumn("times", F.size(F.filter("steps", lambda s: F.col("__u") > s))).where(F.col("times") > 0).drop("turn", "steps", "__u")
     sums = drawn.groupBy("source").agg(F.sum("times").alias("draws"), F.sum(F.col("times") * F.col("tokens")).alias("drawn_tokens"))
     shares = report.join(F.broadcast(sums), "source", "left").withColumns({"draws": F.coalesce("draws", F.lit(0)), "drawn_tokens": F.coalesce("drawn_tokens", F.lit(0))})
     every = sums.agg(F.sum("drawn_tokens").alias("t")).select("t").scalar()
     shares = shares.withColumns({"reached_share": F.try_divide("drawn_tokens", "total_tokens"), "share_of_drawn": F.try_divide(F.col("drawn_tokens"), every)})
     draws = drawn.select("source", "doc_id", F.explode(F.sequence(F.lit(1), F.col("times"))).alias("copy_no"), "tokens").withColumn("shuffle_key", F.xxhash64(F.lit(seed), F.lit("order"), "doc_id", "copy_no"))
-    return draws.orderBy("shuffle_key"), shares
+    # Keys are even over their range, so equal ranges of it are even partitions: a global order without a look at the rows before.
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    place = F.floor((F.shiftright("shuffle_key", 11) + F.lit(1 << 52)) * F.lit(parts / float(1 << 53))).cast("int")
+    return draws.repartitionById(parts, F.least(F.greatest(place, F.lit(0)), F.lit(parts - 1))).sortWithinPartitions("shuffle_key"), shares
