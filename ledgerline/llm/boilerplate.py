@@ -41,6 +41,7 @@ MOST_SHARED = 1 << 20
 #: Tags whose text is compared with the site's repeated texts: not code, terms or table cells, whose short texts recur by nature.
 _COMPARED = frozenset(_NUMBER[t] for t in ("h1", "h2", "h3", "h4", "h5", "h6", "p", "li", "blockquote", "figcaption"))
 _HEADINGS = range(6)
+_AFTER_HEADINGS = 6  # headings have the first numbers
 _P, _LI, _TD = _NUMBER["p"], _NUMBER["li"], _NUMBER["td"]
 
 
@@ -56,6 +57,10 @@ class _Lines(HTMLParser):
         self.link = self.hidden = self.in_title = False
         self.title: list[str] = []
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Lines and columns of the source aren't asked for."""
+        return j
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _NUMBER:
             self.here = [_NUMBER[tag], self.stack[-1][1] if self.stack else 0, [], 0, 1, 0]
@@ -159,7 +164,7 @@ def content_lines(chars: np.ndarray, links: np.ndarray, tags: np.ndarray, own: n
 
 def selected_regions(content: np.ndarray, chars: np.ndarray, tag: np.ndarray, box: np.ndarray, own: np.ndarray, title: int | None = None, most: float = MOST) -> np.ndarray:
     """Lines of the regions that the content cluster selects: those with `most` of their text in it, and the title's (if told its line) where the next is one, as names may stand alone below a title. A region is the lines of one element from heading to heading; elements within and the site's own lines don't end it, but aren't of it."""
-    heads, region = np.isin(tag, _HEADINGS) & ~own, np.zeros(len(tag), int)
+    heads, region = (tag < _AFTER_HEADINGS) & ~own, np.zeros(len(tag), int)
     order = np.lexsort((np.arange(len(tag)), own, box))
     cuts = heads[order]
     cuts[1:] |= (box[order][1:] != box[order][:-1]) | (own[order][1:] != own[order][:-1])
@@ -206,12 +211,15 @@ def main_lines(page: dict, repeated: set[int], common: set[int] | None = None, s
         own &= ~spared | np.array(page["control"]) | np.array([h in common for h in page["text"]])
         content = content_lines(chars, links, tags, own, sigma)
     keep = selected_regions(content, chars, tag, box, own, first if heads else None) & (chars > 0) & ~own
+    on_way = np.zeros(len(parents), bool)
+    on_way[list(way)] = True
+    on_way = on_way[box]
     beside = _headed(own, tag, box, parents)
-    if beside.any() and not beside.all() and not keep[np.isin(box, list(way))].any():  # longer text beside the article sets the threshold above it
+    if beside.any() and not beside.all() and not keep[on_way].any():  # longer text beside the article sets the threshold above it
         content = content_lines(chars, links, tags, own, sigma, ~beside)
         keep = selected_regions(content, chars, tag, box, own, first if heads else None) & (chars > 0) & ~own
     # Page furniture stands beside an article without an element of its own, so only the way belongs to that.
-    keep &= np.isin(box, list(way)) | (_within(home or peak, parents)[box] if home or peak else False)
+    keep &= on_way | (_within(home or peak, parents)[box] if home or peak else False)
     if not home:
         keep &= ~((tag == _TD) & np.array([h in repeated for h in page["text"]]))
     # Sections below repeated headings, to the next heading that isn't or the end of its element; below other repeated labels, the lists and
@@ -272,8 +280,8 @@ def _fixed(keep: np.ndarray, text: np.ndarray, own: np.ndarray, below: np.ndarra
     out = np.zeros(len(tag), bool)
     if not home and chars[keep & text & below].sum() <= chars[keep & text & ~below].sum():
         return out
-    first, inside = int(np.argmax(keep)), np.isin(box, np.unique(box[keep]))
-    for k in np.flatnonzero(below & (np.isin(tag, _HEADINGS)) & inside & (np.arange(len(tag)) > first)):
+    first, inside = int(np.argmax(keep)), np.bincount(box[keep], minlength=int(box.max()) + 1)[box] > 0
+    for k in np.flatnonzero(below & (tag < _AFTER_HEADINGS) & inside & (np.arange(len(tag)) > first)):
         end = k + 1
         while end < len(tag) and below[end] and tag[end] not in _HEADINGS:
             end += 1
