@@ -144,19 +144,81 @@ def _loads(text: str | bytes):
         return False, None
 
 
+_TOKEN = re.compile(r"""[ \t\n\r]*(?:("(?:[^"\\\x00-\x1f]|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*")|(-?(?:0|[1-9][0-9]*)(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?|true|false|null|NaN|-?Infinity)|([{}\[\],:]))""")
+
+
+def _well_nested(text: str) -> bool:
+    """Whether a text is JSON, with a stack of its own: for what nests deeper than the standard library's parser goes."""
+    stack: list[str] = []
+    state, at = "value", 0
+    while m := _TOKEN.match(text, at):
+        at = m.end()
+        string, scalar, mark = m.groups()
+        if state in ("value", "first value"):
+            if mark in ("{", "["):
+                stack.append(mark)
+                state = "first key" if mark == "{" else "first value"
+            elif mark is None:
+                state = "after"
+            elif mark == "]" and state == "first value":
+                stack.pop()
+                state = "after"
+            else:
+                return False
+        elif state in ("key", "first key"):
+            if string is not None:
+                state = "colon"
+            elif mark == "}" and state == "first key":
+                stack.pop()
+                state = "after"
+            else:
+                return False
+        elif state == "colon":
+            if mark != ":":
+                return False
+            state = "value"
+        elif not stack:
+            return False
+        elif mark == ",":
+            state = "key" if stack[-1] == "{" else "value"
+        elif mark == {"{": "}", "[": "]"}[stack[-1]]:
+            stack.pop()
+        else:
+            return False
+    return state == "after" and not stack and not text[at:].strip(" \t\n\r")
+
+
 def _readable(text: str) -> bytes | None:
     """The exact check of a JSON text; a text that is itself a JSON string is unwrapped."""
     while True:  # each layer is shorter than the one around it
-        ok, value = _loads(text)
-        if not ok:
+        try:
+            value = json.loads(text)
+        except ValueError:
             return None
+        except RecursionError:
+            return text.encode("utf-8", "surrogatepass") if _well_nested(text) else None
         if not isinstance(value, str):
             return text.encode("utf-8", "surrogatepass") if isinstance(value, (dict, list)) else None
         text = value
 
 
 def _value_text(v) -> str | None:
-    return None if v is None else v if isinstance(v, str) else json.dumps(v, ensure_ascii=False)
+    return None if v is None else v if isinstance(v, str) else v.text if isinstance(v, _Span) else json.dumps(v, ensure_ascii=False)
+
+
+class _Span(list):
+    """A container as it stands in the text, where it nests too deep to be read."""
+
+    def __init__(self, text: str):
+        self.text = text
+
+
+def _claim(value: dict) -> tuple | None:
+    """(field, value, evidence_quote, supported) of a claim object; None for a wrapper."""
+    if not any(k in value for k in CLAIM_KEYS) and any(isinstance(v, (dict, list)) for v in value.values()):
+        return None
+    supported = value.get("supported")
+    return _value_text(value.get("field")) or "", _value_text(value.get("value")), _value_text(value.get("evidence_quote")), supported if isinstance(supported, bool) else None
 
 
 class _Extractions:
@@ -168,7 +230,7 @@ class _Extractions:
         """(record_id, node, parent_no 0, claim_no, field, value, evidence_quote, supported)"""
         # Rows go by their place here: a row written twice must not go on with the numbers of its copy.
         todo = [(k, "", raw, "root") for k, t in enumerate(texts) if t is not None and (raw := _readable(t)) is not None]
-        claims: list[tuple] = []  # row, node, place in reading order, object
+        claims: list[tuple] = []  # row, node, place in reading order, (field, value, evidence_quote, supported)
         while todo:
             later: list[tuple] = []
             for a, z in _blocks([t[2] for t in todo]):
@@ -179,8 +241,7 @@ class _Extractions:
         for row, node, _, claim in claims:
             number = number + 1 if last == (row, node) else 1
             last, record = (row, node), ids[row]
-            supported = claim.get("supported")
-            out.append((record, node, 0, number, _value_text(claim.get("field")) or "", _value_text(claim.get("value")), _value_text(claim.get("evidence_quote")), supported if isinstance(supported, bool) else None))
+            out.append((record, node, 0, number, *claim))
         return out
 
     def _block(self, items: list[tuple], claims: list, later: list) -> None:
@@ -201,6 +262,7 @@ class _Extractions:
             c = index.raw[s : s + 1]
             return ("object", token_at(s)) if c == b"{" else ("array", token_at(s)) if c == b"[" else ("string", s) if c == b'"' else None
 
+        # Order within a text is that of its bytes; place has where the texts around it stand, for a text within a string.
         # Values to go on at; stage names what is expected there. A stack of their own, as texts may nest deeper than calls can; claims are sorted later.
         pending: list[tuple[int, str, tuple, tuple[int, int] | None, str]] = []
 
@@ -220,10 +282,25 @@ class _Extractions:
             if what[0] == "string":
                 ok, text = _loads(index.raw[span[0] : span[1]])
                 if ok and isinstance(text, str) and (raw := _readable(text)) is not None:
-                    later.append((record, node, raw, (stage, place)))
+                    later.append((record, node, raw, (stage, (*place, span[0]))))
             elif what[0] == "object" or stage == "claims":
                 self._enter(index, members, doc, record, node, place, what[1], stage, follow, claims)
 
+    @staticmethod
+    def _members(index: JsonIndex, token: int) -> dict:
+        """An object's members by their spans, containers unread."""
+        out, key, start = {}, None, int(index.position[token]) + 1
+        for t in [*index.within(token), None]:
+            end = int(index.closing[token]) if t is None else int(index.position[t])
+            if t is None or index.char[t] in (0x2C, 0x3A):
+                text = index.raw[start:end].strip()
+                if t is not None and index.char[t] == 0x3A:
+                    key = json.loads(text)
+                elif key is not None:
+                    out[key] = _Span(text.decode("utf-8", "replace")) if text[:1] in b"{[" else json.loads(text)
+                start = end + 1
+        return out
+
     def _enter(self, index, members, doc, record, node, place, token, stage, follow: Callable, claims: list) -> None:
         if stage == "root":
             follow(doc, "final_extraction", (), members.get((doc, token, "final_extraction")), "extraction")
@@ -238,18 +315,22 @@ class _Extractions:
         else:
             start = int(index.position[token])
             if index.char[token] == 0x7B:
-                value = json.loads(index.raw[start : int(index.closing[token]) + 1])
-                if any(k in value for k in CLAIM_KEYS) or not any(isinstance(v, (dict, list)) for v in value.values()):
-                    claims.append((record, node, (*place, start), value))
+                try:
+                    value = json.loads(index.raw[start : int(index.closing[token]) + 1])
+                    claim = _claim(value)
+                except RecursionError:
+                    claim = _claim(self._members(index, token))
+                if claim is not None:
+                    claims.append((record, node, (*place, start), claim))
                     return
             # Children of an array or wrapper: containers by token, and strings that may hold JSON.
             piece = start + 1
             for t in index.within(token):
                 if index.char[t] == 0x2C:
-                    follow(doc, node, (*place, piece), (piece, int(index.position[t])), "claims")
+                    follow(doc, node, place, (piece, int(index.position[t])), "claims")
                 if index.char[t] in (0x2C, 0x3A):
                     piece = int(index.position[t]) + 1
-            follow(doc, node, (*place, piece), (piece, int(index.closing[token])), "claims")
+            follow(doc, node, place, (piece, int(index.closing[token])), "claims")
 
 
 _SKIPPED = re.compile(rb"<!--.*?-->|<!\[CDATA\[.*?\]\]>|<\?.*?\?>|<!DOCTYPE[^>\[]*(?:\[.*?\]\s*)?>", re.S)
