@@ -86,9 +86,12 @@ def p6_limits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p7_sources(spark: SparkSession, d: str) -> DataFrame:
-    """Each target with what it is drawn from, and whether the draws keep to it."""
-    shares = _mixed(spark, d)[1]
-    met = (F.abs(F.col("reached_share") - F.col("target_share")) < 0.01) | (F.col("draws") == F.col("documents") * F.col("max_repeats"))
+    """Each target with what it is drawn from, and whether the draws meet it but for a hundredth of all tokens or one document, or take all they may."""
+    sizes = cut(token_counts(table(spark, d, "documents"), "doc_id", "text", "source"))
+    largest = sizes.groupBy(canonical_source(F.col("source")).alias("source")).agg(F.max("tokens").alias("largest"))
+    shares = mix_sources(sizes, table(spark, d, "mix_targets"))[1].join(largest.where(F.col("source").isNotNull()), "source", "left")
+    off = F.abs(F.col("reached_share") - F.col("target_share"))
+    met = (off < 0.01) | (off * F.col("total_tokens") <= F.col("largest")) | (F.col("draws") == F.col("documents") * F.col("max_repeats"))
     return shares.select("source", "target_share", "max_repeats", "documents", met.alias("met"))
 
 
