@@ -27,7 +27,10 @@ def schemas(text, table):
     return re.findall(rf"{table}\.parquet\].*?ReadSchema: struct<(.*?)>(?:\n|$)", text)
 
 
-def test_columns_are_pruned(spark):
+def test_columns_are_pruned(spark, monkeypatch):
+    from ledgerline.operators import history
+
+    monkeypatch.setattr(history, "cut", lambda df: df)  # what is stored has its scan behind it
     read = schemas(plan(QUERIES["p3_found"](spark, str(FOLDER))), "github_repo_snapshots")
     assert read and all(r == "repo_url:string,stargazers_count:int,stars_fetched_at:timestamp,api_status:string" for r in read)
     read = schemas(plan(QUERIES["lineage"](spark, str(FOLDER))), "fetch_observations")
