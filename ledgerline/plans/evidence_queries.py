@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,13 +17,14 @@ from ledgerline.operators.skew import salted_lookup
 from ledgerline.operators.validate import build_exports, reject_reason
 from ledgerline.plans.core_queries import AUTHORS_SQL, FEEDS_SQL, _url, xml_text
 from ledgerline.schemas import EXPORT_FIELDS, evidence_strength, key_violations, violation
-from ledgerline.session import table
+from ledgerline.session import shared_folder, table
 from ledgerline.sources.attempts import backoff, fold_attempts, provider_wait, repo_outcome
 from ledgerline.sources.feed import discovered, feed_papers, page_plan
 from ledgerline.sources.log import events
 from ledgerline.sources.pages import anchors, link_candidates
 from ledgerline.sources.replay import replay_pages
-from ledgerline.sources.sheet import chunked, sheet_rows
+from ledgerline.sources.sheet import chunked, read_sheet, sheet_rows, write_sheet
+from ledgerline.tables import SnapshotStore
 
 HOST = "codeforge.example"
 #: The time of the run that queries write; fixed, so that they give the same rows each time.
@@ -587,3 +590,46 @@ def ground_documents(spark: SparkSession, d: str) -> DataFrame:
     )
     held = ground(table(spark, d, "documents").select("doc_id", "text", x.alias("x")), "text", "x")
     return held.select("doc_id", "validation_status", F.array_join("validation_errors", "\n").alias("errors"))
+
+
+@query("""
+WITH r AS (SELECT DISTINCT result_id, result_json FROM llm_live_result WHERE json_valid(result_json)), x AS (SELECT result_id, json_extract(result_json, '$.final_extraction') AS x FROM r)
+SELECT result_id, x ->> 'company' AS company, x ->> 'role_family' AS role_family FROM x WHERE json_type(x) = 'OBJECT' AND coalesce(json_type(x -> 'company'), 'NULL') IN ('VARCHAR', 'NULL') AND coalesce(json_type(x -> 'role_family'), 'NULL') IN ('VARCHAR', 'NULL')""")
+def decoded_results(spark: SparkSession, d: str) -> DataFrame:
+    """Final extractions that are objects, read by the decoder; whatever else is odd in them."""
+    rows = table(spark, d, "llm_live_result").select("result_id", "result_json").distinct().where(F.try_parse_json("result_json").isNotNull())
+    found = rows.withColumn("v", F.try_variant_get(F.try_parse_json("result_json"), "$.final_extraction", "variant"))
+    text = lambda f: F.coalesce(F.schema_of_variant(F.try_variant_get("v", f"$.{f}", "variant")), F.lit("VOID")).isin("STRING", "VOID")
+    kept = found.where(F.startswith(F.schema_of_variant("v"), F.lit("OBJECT")) & text("company") & text("role_family"))
+    x = decode(F.get_json_object("result_json", "$.final_extraction"), EXTRACTION)
+    return kept.select("result_id", x["company"].alias("company"), x["role_family"].alias("role_family"))
+
+
+# Stores and sheets: what is written and read again
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new place in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@query("SELECT DISTINCT paper_id, fetch_observation_id, linked_at FROM (SELECT DISTINCT ON (paper_id, fetch_observation_id) * FROM paper_fetch_observations WHERE paper_id IS NOT NULL AND fetch_observation_id IS NOT NULL ORDER BY paper_id, fetch_observation_id, linked_at)")
+def stored_links(spark: SparkSession, d: str) -> DataFrame:
+    """Links put into a migrated store twice, read from it."""
+    store = SnapshotStore(spark, _folder(spark, "store"))
+    store.migrate()
+    store.migrate()
+    links = table(spark, d, "paper_fetch_observations")
+    for _ in range(2):
+        store.put_if_absent("paper_fetch_observations", links, ["paper_id", "fetch_observation_id"])
+    return store.read("paper_fetch_observations")
+
+
+@query(f"WITH s AS ({_SHEET}) SELECT * EXCLUDE (id, validated_at) FROM s")
+def written_sheet(spark: SparkSession, d: str) -> DataFrame:
+    """The sheet of all records, written, written again and read from where it was written."""
+    rows = sheet_rows(_once(table(spark, d, "validated_records").select("id", "validated_at", "export_payload.*"))).orderBy("validated_at", "id").select(*EXPORT_FIELDS)
+    place = _folder(spark, "sheets")
+    for _ in range(2):
+        write_sheet(rows, place, "sheet")
+    return read_sheet(spark, place, "sheet")

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgerline.schemas import EXPORT_FIELDS
 from ledgerline.session import cut
 
 
+#: Texts with line ends, quotes and spaces come back as they were.
+_FORM = {"header": "true", "escape": '"', "quoteAll": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false", "lineSep": "\n"}
 #: Rows that fit a spreadsheet: one file, written by one task.
 SHEET_ROWS = 1_000_000
 
@@ -46,4 +48,9 @@ def write_sheet(rows: DataFrame, path: str | None, sheet_id: str | None, most: i
     rows = cut(rows)
     if rows.count() <= most:
         rows = rows.coalesce(1)
-    rows.write.mode("overwrite").option("header", True).csv(f"{path.rstrip('/')}/{sheet_id}")
+    rows.write.mode("overwrite").options(**_FORM).csv(f"{path.rstrip('/')}/{sheet_id}")
+
+
+def read_sheet(spark: SparkSession, path: str, sheet_id: str) -> DataFrame:
+    """A sheet as it was written: all text, NULL nowhere."""
+    return spark.read.options(**_FORM, multiLine="true").csv(f"{path.rstrip('/')}/{sheet_id}").na.fill("")

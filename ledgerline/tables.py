@@ -10,12 +10,17 @@ from ledgerline.operators import relational
 from ledgerline.schemas import TABLES, schema
 
 
+#: Folders of one table from which on an append joins some.
+MOST_FOLDERS = 32
+
+
 class SnapshotStore:
     """Tables as folders <root>/<table>/v=<n> and lists current-<n> of the folders that make up version n; for one writing job at a time.
 
     A change writes a new folder and then its list, so a path that is being read is never overwritten and a job that dies leaves the
-    old version current. Appending and inserting write the new rows only, however large the table is; compact joins what has become
-    many folders. Files go through Hadoop's file system, so root may be any shared folder.
+    old version current. Appending and inserting write the new rows only, however large the table is; when a table has MOST_FOLDERS folders, the
+    next append takes the rows of the later half with it, so that readers never list many and old rows are rarely written anew. compact joins
+    all. Files go through Hadoop's file system, so root may be any shared folder.
     """
 
     def __init__(self, spark: SparkSession, root: str):
@@ -40,8 +45,9 @@ class SnapshotStore:
     def read(self, table: str) -> DataFrame:
         """The current version; an empty table of the right schema if it was never written."""
         folders = self._folders(table)
-        if not folders:
-            return self.spark.createDataFrame([], schema(table))
+        return self._of(table, folders) if folders else self.spark.createDataFrame([], schema(table))
+
+    def _of(self, table: str, folders: list[int]) -> DataFrame:
         return self.spark.read.schema(schema(table)).parquet(*(f"{self.root}/{table}/v={n}" for n in folders))
 
     def _write(self, table: str, rows: DataFrame, before: list[int]) -> int:
@@ -64,8 +70,12 @@ class SnapshotStore:
 
     def append(self, table: str, rows: DataFrame) -> int:
         """Adds rows; columns they lack are NULL."""
-        empty = self.spark.createDataFrame([], schema(table))
-        return self._write(table, relational.append(empty, rows), self._folders(table))
+        empty, folders = self.spark.createDataFrame([], schema(table)), self._folders(table)
+        rows, kept = relational.append(empty, rows), len(folders)
+        if kept >= MOST_FOLDERS:
+            kept //= 2
+            rows = rows.unionByName(self._of(table, folders[kept:]))
+        return self._write(table, rows, folders[:kept])
 
     def put_if_absent(self, table: str, rows: DataFrame, key: list[str]) -> int:
         """Adds the rows whose key the table lacks."""

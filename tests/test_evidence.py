@@ -296,3 +296,14 @@ def test_store_and_incremental_ingest(spark, tmp_path):
     before = sorted(map(tuple, store.read("paper_fetch_observations").collect()))
     store.compact("paper_fetch_observations")
     assert len(store._folders("paper_fetch_observations")) == 1 and sorted(map(tuple, store.read("paper_fetch_observations").collect())) == before
+
+
+def test_many_appends_make_few_folders(spark, tmp_path, monkeypatch):
+    from ledgerline import tables
+
+    monkeypatch.setattr(tables, "MOST_FOLDERS", 4)
+    store = SnapshotStore(spark, str(tmp_path / "store"))
+    for k in range(9):
+        store.append("paper_fetch_observations", spark.createDataFrame([(f"p{k}", "o")], "paper_id string, fetch_observation_id string"))
+        assert len(store._folders("paper_fetch_observations")) <= 4
+        assert sorted(r.paper_id for r in store.read("paper_fetch_observations").collect()) == [f"p{n}" for n in range(k + 1)]
