@@ -25,6 +25,19 @@ TABLES = {
     "pipeline_log": "id string, ts timestamp, stage string, source string, record_id string, status string, attempt int, latency_ms int, error_type string, provider string, detail string",
 }
 
+#: Tables that queries read besides these, and what the stored form of a table adds to it.
+INPUTS = {
+    **TABLES,
+    "github_repo_snapshots": TABLES["github_repo_snapshots"] + ", loaded_at timestamp",
+    "llm_live_result": "result_id bigint, received_at timestamp, result_json string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint, paper_id string, repo_url string, created_at timestamp",
+    "repo_registry": "repo_url string, registered_at timestamp, removed_at timestamp",
+    "given_name_forms": "given_name string, short_form string",
+    "mix_targets": "source string, target_share double, max_repeats int",
+    "pack_capacity": "container string, capacity_tokens int",
+    "reading_labels": "doc_id bigint, rater string, band string",
+}
+
 _DOMAINS = {
     "papers": {"status": PAPER_STATUS},
     "fetch_observations": {"fetch_status": FETCH_STATUS},

@@ -10,6 +10,8 @@ import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerline.schemas import INPUTS
+
 
 def build_session(app: str = "ledgerline", **conf: str) -> SparkSession:
     """A session with the settings the operators expect; on a cluster, submit-time settings win."""
@@ -53,4 +55,6 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A table of a folder. Those whose schema is declared are read by it, without a job that looks into files for it."""
+    reader = spark.read.schema(INPUTS[name]) if name in INPUTS else spark.read
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
