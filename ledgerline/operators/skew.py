@@ -53,3 +53,8 @@ def salted_lookup(rows: DataFrame, keys: DataFrame, key: str, spread: str, max_h
     left = rows.join(hot, F.col(key) == F.col("__hot"), "left").withColumn("__salt", salt).drop("__hot", "__salts")
     right = keys.join(hot, F.col(key) == F.col("__hot"), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))).drop("__hot", "__salts")
     return left.join(right, [key, "__salt"], "left").drop("__salt")
+
+
+def lookup(rows: DataFrame, keys: DataFrame, key: str, spread: str, most: int = MOST_SHARED) -> DataFrame:
+    """rows LEFT JOIN keys USING (key): keys of at most `most` rows (counted first) go to all tasks, more are met by salted_lookup."""
+    return rows.join(F.broadcast(keys), key, "left") if few(keys, most) else salted_lookup(rows, keys, key, spread)

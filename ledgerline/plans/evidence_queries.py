@@ -13,7 +13,7 @@ from ledgerline.grounding.checks import BAD_CLAIM_QUOTE, BAD_QUOTE, EXTRACTION,
 from ledgerline.grounding.pipeline import route
 from ledgerline.operators import relational as R
 from ledgerline.operators.associate import mark_selected, select_primary, selected_twice
-from ledgerline.operators.skew import salted_lookup
+from ledgerline.operators.skew import lookup
 from ledgerline.operators.validate import build_exports, reject_reason
 from ledgerline.plans.core_queries import AUTHORS_SQL, FEEDS_SQL, _url, xml_text
 from ledgerline.schemas import EXPORT_FIELDS, evidence_strength, key_violations, violation
@@ -529,9 +529,9 @@ def row_checks(spark: SparkSession, d: str) -> DataFrame:
 WITH s AS (SELECT DISTINCT id, {_url("repo_url")} AS k FROM github_repo_snapshots)
 SELECT id, k AS repo_url, registered_at FROM s LEFT JOIN repo_registry r ON s.k = r.repo_url""")
 def snapshot_registration(spark: SparkSession, d: str) -> DataFrame:
-    """Each snapshot with its repository's registration, hot repositories spread over tasks."""
+    """Each snapshot with its repository's registration; hot repositories are spread over tasks if the registry is too large to share."""
     rows = table(spark, d, "github_repo_snapshots").select("id", F.explode(F.array(_canonical(F.col("repo_url")))).alias("repo_url")).distinct()
-    return salted_lookup(rows, table(spark, d, "repo_registry").select("repo_url", "registered_at"), "repo_url", "id").select("id", "repo_url", "registered_at")
+    return lookup(rows, table(spark, d, "repo_registry").select("repo_url", "registered_at"), "repo_url", "id").select("id", "repo_url", "registered_at")
 
 
 # Extraction results

@@ -14,9 +14,14 @@ from ledgerline.operators.associate import first_of_each
 
 # The containers whose links are evidence, as (tag or "", classes), in order of precedence.
 CONTAINERS = (("blockquote", ("abstract",)), ("td", ("tablecell", "comments")), ("td", ("tablecell", "jref")), ("", ("extra-services",)), ("", ("full-text-links",)))
+# Elements that have no end.
 _VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link", "menuitem", "meta", "param", "source", "track", "wbr", "basefont", "bgsound", "command", "frame", "image", "isindex", "nextid", "spacer"))
 
 
+#: Characters parsed at once past the last mention of a container's class.
+_PIECE = 256
+
+
 class _Anchors(HTMLParser):
     """Anchors by container: an end tag closes the nearest open element of its name and all within; others are ignored; nothing closes by itself."""
 
@@ -27,6 +32,26 @@ class _Anchors(HTMLParser):
         self.seen = 0
         self.found: list[list] = []  # [order, number, tag, classes, href, text parts]
 
+    def updatepos(self, i: int, j: int) -> int:
+        """Lines and columns of the source aren't asked for."""
+        return j
+
+    def read(self, text: str) -> list[list]:
+        """The anchors found; what follows the last container's end isn't parsed."""
+        at = max((text.rfind(c[-1]) for _, c in self.containers), default=-1)
+        if at < 0:  # where no container's class stands in the text there is none in the page
+            return []
+        # Pieces end before a tag, so that no text between two tags is cut.
+        after = lambda k: (text.find("<", k) + 1 or len(text) + 1) - 1
+        last = end = after(at)
+        self.feed(text[:end])
+        # On while the last mention may be in a tag that isn't whole yet, or a container is open.
+        while end < len(text) and (end - len(self.rawdata) < last or self.open and self.open[-1][2]):
+            start, end = end, after(end + _PIECE)
+            self.feed(text[start:end])
+        self.close()
+        return self.found
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
         values = dict(attrs)
         classes = (values.get("class") or "").split()
@@ -75,13 +100,7 @@ def anchors(pages: DataFrame, page_id: str, page_url: str, html: str, observed_a
         for pdf in batches:
             out = []
             for i, url, text, at in zip(pdf["page_id"], pdf["page_url"], pdf["html"], pdf["observed_at"]):
-                # Where no container's class stands in the text there is none in the page.
-                if not any(c[-1] in text for _, c in containers):
-                    continue
-                p = _Anchors(containers)
-                p.feed(text)
-                p.close()
-                out += [(i, url, at, order, number, k, ".".join([tag, *classes]), href, "".join(parts) or None) for k, (order, number, tag, classes, href, parts) in enumerate(p.found)]
+                out += [(i, url, at, order, number, k, ".".join([tag, *classes]), href, "".join(parts) or None) for k, (order, number, tag, classes, href, parts) in enumerate(_Anchors(containers).read(text))]
             yield pd.DataFrame(out, columns=columns)
 
     pages = pages.select(F.col(page_id).cast("string").alias("page_id"), F.col(page_url).alias("page_url"), F.col(html).alias("html"), F.col(observed_at).cast("timestamp").alias("observed_at"))
