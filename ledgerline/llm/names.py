@@ -465,17 +465,17 @@ def star_clusters(nodes: DataFrame, links: DataFrame, rounds: int = ROUNDS) -> D
     return nodes.select("id").join(best, "id", "left").withColumn("center", F.coalesce("center", "id"))
 
 
-def link_names(df: DataFrame, names: str, short_forms: DataFrame) -> DataFrame:
+def link_names(df: DataFrame, names: str, short_forms: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     """(name, entity): one row for each distinct spelling in an array column of names, exactly as stored; equal entities are one person or group.
 
-    short_forms (given_name, short_form) lists given names' short forms. NULL arrays, NULL names, blanks and fillers ("et al." ..)
+    short_forms (given_name, short_form) lists given names' short forms; links need a Monge-Elkan similarity of `least`. NULL arrays, NULL names, blanks and fillers ("et al." ..)
     belong to nobody and are left out. Repeated mentions count for a spelling's rank only. Empty tables give no rows; other columns
     are not read.
     """
     spellings, forms = name_forms(df, names, short_forms)
     forms = cut(forms)
     whole = (F.size(F.split(F.split_part("form", F.lit("|"), F.lit(1)), " ")) > 1) & F.col("expansions").isNull()
-    clusters = star_clusters(forms.select("id", (F.col("mentions") + F.when(whole, F.lit(1 << 40)).otherwise(F.lit(0))).alias("rank")), name_links(forms))
+    clusters = star_clusters(forms.select("id", (F.col("mentions") + F.when(whole, F.lit(1 << 40)).otherwise(F.lit(0))).alias("rank")), name_links(forms, least=least))
     return spellings.join(forms.select("form", "id"), "form").join(clusters, "id").select("name", F.col("center").alias("entity"))
 
 
