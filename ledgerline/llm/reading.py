@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.tokens import VOCABULARY
+from ledgerline.llm.tokens import VOCABULARY, encoder
 from ledgerline.session import cut
 
 BANDS = ("plain", "student", "expert")
@@ -80,8 +80,6 @@ class Words:
     LIMIT = 1 << 20
 
     def __init__(self, ranks: bytes):
-        from ledgerline.llm.tokens import encoder
-
         self.encode = encoder(ranks)
         self.clear()
 
