@@ -11,7 +11,7 @@ _SPACE = r"(?U)[\s\x1c-\x1f]+"
 
 def collapse_space(c: Column) -> Column:
     """Runs of white space become one space, the ends are bare; NULL stays NULL, blank text becomes ''."""
-    return F.regexp_replace(F.regexp_replace(c, _SPACE, " "), "^ | $", "")
+    return F.trim(F.regexp_replace(c, _SPACE, " "))
 
 
 def strip_space(c: Column) -> Column:
