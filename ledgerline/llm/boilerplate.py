@@ -35,7 +35,7 @@ SHARE = 0.03
 #: Within the article's own element a line must be on this share of the site's pages to count as the site's: few articles share a sentence by chance.
 COMMON = 0.25
 #: Standard deviation of the smoothing, in lines, and the share of a region's text that content lines must hold.
-SIGMA, MOST = 1.0, 0.3
+SIGMA, MOST = 0.75, 0.3
 #: Sites' repeated texts go to all tasks up to this many hashes (8 MB); beyond, pages and texts meet in a salted join.
 MOST_SHARED = 1 << 20
 #: Tags whose text is compared with the site's repeated texts: not code, terms or table cells, whose short texts recur by nature.
