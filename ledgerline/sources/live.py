@@ -31,6 +31,10 @@ REPO_HEADERS = {"Accept": "application/vnd.github+json", "X-GitHub-Api-Version":
 REMAINING = "X-RateLimit-Remaining"
 
 
+#: Answers that are held before they are handed on.
+_HANDED = 64
+
+
 class _Stay(urllib.request.HTTPRedirectHandler):
     def redirect_request(self, *_):
         return None
@@ -120,7 +124,8 @@ def _asked(requests: DataFrame, url: str, at_once: int, row: Callable[[str], tup
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            yield pd.DataFrame([row(u) for u in pdf[name]], columns=columns, dtype=object)
+            for k in range(0, len(pdf), _HANDED):
+                yield pd.DataFrame([row(u) for u in pdf[name].iloc[k : k + _HANDED]], columns=columns, dtype=object)
 
     asked = requests.select(F.col(url).alias(name)).where(F.col(name).isNotNull()).repartition(at_once)
     return asked.mapInPandas(rows, schema)
