@@ -345,3 +345,14 @@ def main_content(df: DataFrame, record_id: str, url: str, html: str, share: floa
             yield pd.DataFrame({"id": pd.Series(ids, dtype=object), "block_no": pd.Series(numbers, dtype="int64")})
 
     return here.mapInPandas(choose, "id string, block_no bigint").distinct()
+
+
+def page_blocks(df: DataFrame, record_id: str, html: str) -> DataFrame:
+    """(id, blocks): how many blocks each page has, as main_content numbers them; NULL ids and pages give nothing, rows written twice count once."""
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            yield pd.DataFrame({"id": pdf["id"], "blocks": pd.Series([len(read_lines(h)["tag"]) for h in pdf["html"]], dtype="int64", index=pdf.index)})
+
+    pages = df.select(F.col(record_id).cast("string").alias("id"), F.col(html).alias("html")).where(F.col("id").isNotNull() & F.col("html").isNotNull())
+    return pages.mapInPandas(count, "id string, blocks bigint").distinct()

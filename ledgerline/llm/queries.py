@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.llm.boilerplate import main_content
+from ledgerline.llm.boilerplate import main_content, page_blocks
 from ledgerline.llm.mixing import mix_sources
 from ledgerline.llm.names import FILLERS, link_names, name_pairs
 from ledgerline.llm.packing import LOSS_SHARE, TOKENS_A_SEGMENT, pack_documents, packing_report
@@ -18,6 +18,17 @@ def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return main_content(table(spark, d, "fetch_observations"), "id", "source_url", "raw_payload.html")
 
 
+def p2_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """The blocks of each page, the article's or not: what block_no counts."""
+    return page_blocks(table(spark, d, "fetch_observations"), "id", "raw_payload.html")
+
+
+def p2_kept(spark: SparkSession, d: str) -> DataFrame:
+    """Pages of which a block came out that the page doesn't have, or one twice: none."""
+    found = p2_found(spark, d).groupBy("id").agg(F.max("block_no").alias("last"), F.count(F.lit(1)).alias("n"), F.count_distinct("block_no").alias("kinds"))
+    return p2_blocks(spark, d).join(found, "id", "left").select("id", F.coalesce((F.col("last") <= F.col("blocks")) & (F.col("n") == F.col("kinds")), F.lit(True)).alias("inside"))
+
+
 def p5_entities(spark: SparkSession, d: str) -> DataFrame:
     return link_names(table(spark, d, "papers"), "authors", table(spark, d, "given_name_forms"))
 
@@ -114,11 +125,14 @@ def p5_spellings(spark: SparkSession, d: str) -> DataFrame:
     return p5_entities(spark, d).select("name")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p5_found, p5_entities, p5_spellings, p6_pack, p6_fill, p6_placed, p6_limits, p7_draws, p7_shares, p7_sources, p7_copies, p8_found, p8_profile, p8_rated)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_blocks, p2_kept, p5_found, p5_entities, p5_spellings, p6_pack, p6_fill, p6_placed, p6_limits, p7_draws, p7_shares, p7_sources, p7_copies, p8_found, p8_profile, p8_rated)}
 _SOURCE = r"nullif(regexp_replace(regexp_replace(lower({0}), '^[\s_-]+|[\s_-]+$', '', 'g'), '[\s_-]+', '_', 'g'), '')"
 _FILLERS = ", ".join(f"'{x}'" for x in sorted(FILLERS))
 #: What SQL can say of these problems: what is taken in and what must hold of the result, not the choice itself.
 SQL: dict[str, str] = {
+    "p2_blocks": r"""SELECT DISTINCT id, len(regexp_extract_all(regexp_replace(raw_payload.html, '(?is)<script.*?(</script>|\z)|<style.*?(</style>|\z)|<!--.*?(-->|\z)|="[^"]*"|=\x27[^\x27]*\x27', '', 'g'),
+'(?i)<(h[1-6]|p|li|dt|dd|td|pre|blockquote|figcaption)(\s[^>]*)?/?>')) AS blocks FROM fetch_observations WHERE raw_payload.html IS NOT NULL""",
+    "p2_kept": "SELECT DISTINCT id, true AS inside FROM fetch_observations WHERE raw_payload.html IS NOT NULL",
     "p5_spellings": rf"""SELECT name FROM (SELECT DISTINCT unnest(authors) AS name FROM papers)
 WHERE regexp_matches(name, '\p{{L}}') AND trim(regexp_replace(lower(regexp_replace(name, '\([^)]*\)', ' ', 'g')), '[^\p{{L}}-]+', ' ', 'g')) NOT IN ({_FILLERS})""",
     "p6_placed": "SELECT container, doc_id, text IS NOT NULL AND text <> '' AS placed, true AS whole FROM documents, pack_capacity",
