@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.tokens import VOCABULARY, encoder
+from ledgerline.operators.skew import few
 from ledgerline.session import cut
 
 BANDS = ("plain", "student", "expert")
@@ -207,8 +208,8 @@ def reading_bands(documents: DataFrame, labels: DataFrame, doc_id: str = "doc_id
     known = cut(texts.mapInPandas(measured, "doc_id bigint, x array<float>"))
     grade = F.lower(F.trim(band))
     # Counts, not lists: a document may have a third of all grades.
-    graded = labels.where(grade.isin(*BANDS)).groupBy(F.col(doc_id).cast("bigint").alias("doc_id")).agg(F.array(*(F.count_if(grade == b) for b in BANDS)).alias("grades"))
-    ids = known.select("doc_id").join(graded, "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
+    graded = cut(labels.where(grade.isin(*BANDS)).groupBy(F.col(doc_id).cast("bigint").alias("doc_id")).agg(F.array(*(F.count_if(grade == b) for b in BANDS)).alias("grades")))
+    ids = known.select("doc_id").join(F.broadcast(graded) if few(graded) else graded, "doc_id").dropDuplicates(["doc_id"]).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs)
     sample = known.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("x").alias("x"), F.first("grades").alias("grades")).collect()
     if not sample:
         return documents.sparkSession.createDataFrame([], "doc_id bigint, band string, score double, p_plain double, p_student double, p_expert double")
