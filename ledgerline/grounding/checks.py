@@ -25,6 +25,20 @@ def decode(text: Column, shape: str = EXTRACTION) -> Column:
     return F.from_json(text, shape, {"mode": "PERMISSIVE"})
 
 
+def decode_strict(text: Column, shape: str = EXTRACTION) -> Column:
+    """A provider's JSON as a struct; NULL if it isn't an object of this shape: a part of another kind, a claim without a field, a review without its extraction or status.
+
+    Parts that are absent are NULL, keys besides those of the shape don't matter.
+    """
+    read = F.from_json(text, shape.removesuffix(">") + ", _corrupt_record: string>", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    extraction = read["corrected_extraction"] if "corrected_extraction" in shape else read
+    nameless = F.coalesce(F.exists(extraction["claims"], lambda c: c.isNull() | c["field"].isNull()), F.lit(False))
+    good = text.isNotNull() & F.ltrim(text).startswith("{") & read["_corrupt_record"].isNull() & ~nameless
+    if extraction is not read:
+        good = good & extraction.isNotNull() & F.coalesce(read["review_status"].isin(*REVIEW_STATUS), F.lit(False))
+    return F.when(good, F.from_json(text, shape, {"mode": "PERMISSIVE"}))
+
+
 def _holds(evidence: Column, quote: Column) -> Column:
     return F.coalesce(F.contains(evidence, quote), F.lit(False))
 

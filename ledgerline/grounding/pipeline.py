@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.grounding.checks import EXTRACTION, REVIEW, REVIEW_STATUS, decode, ground
+from ledgerline.grounding.checks import EXTRACTION, REVIEW, decode, decode_strict, ground
 from ledgerline.grounding.providers import ADJUDICATE, EXTRACT, FALLBACK, REVIEW_ROLE, Provider, adjudicate_prompt, ask, extract_prompt, in_role, review_prompt
 from ledgerline.session import cut
 
@@ -40,7 +40,7 @@ def run_pipeline(df: DataFrame, evidence: str, first: Provider, second: Provider
     next stage asks, so a task that runs again never asks a provider of an earlier stage again. A NULL evidence fails its first stage.
     """
     one_, fall_back, review_, three_ = in_role(first, EXTRACT), in_role(second, FALLBACK), in_role(second, REVIEW_ROLE), in_role(third, ADJUDICATE)
-    shaped = lambda c, shape: F.when(decode(c, shape).isNotNull() & F.get_json_object(c, "$").startswith("{"), c)
+    shaped = lambda c, shape: F.when(decode_strict(c, shape).isNotNull(), c)
     why = lambda answer, good: F.when(good.isNull(), F.coalesce(answer["error"], F.lit(ODD)))
     attempt = lambda provider, good, error, name=None: F.struct(F.lit(name or provider.name).alias("provider"), F.lit(provider.model).alias("model"), good.isNotNull().alias("success"), good.alias("result"), error.alias("error"))
     e = F.col(evidence)
@@ -49,7 +49,7 @@ def run_pipeline(df: DataFrame, evidence: str, first: Provider, second: Provider
     direct = F.col("__first").isNotNull()
     two = cut(one.withColumns({"__af": ask(fall_back)(F.when(~direct, extract_prompt(e, fallback=True))), "__ar": ask(review_)(F.when(direct, review_prompt(e, F.col("__first"))))}))
     two = two.withColumn("__fallback", F.when(~direct, shaped(F.col("__af.text"), EXTRACTION))).withColumn("draft", F.coalesce("__first", "__fallback"))
-    reviewed = F.when(direct & decode(F.col("__ar.text"), REVIEW)["review_status"].isin(*REVIEW_STATUS), F.col("__ar.text"))
+    reviewed = F.when(direct, shaped(F.col("__ar.text"), REVIEW))
     synthetic = F.concat(F.lit('{"corrected_extraction": '), F.col("draft"), F.lit(', "corrections": [], "added_information": [], "removed_information": [], "review_status": "INSUFFICIENT_EVIDENCE"}'))
     two = two.withColumn("review", F.when(direct, reviewed).when(F.col("draft").isNotNull(), synthetic))
     prompt = F.when(direct & F.col("review").isNotNull(), adjudicate_prompt(e, F.col("draft"), F.col("review"))).when(~direct & F.col("draft").isNotNull(), adjudicate_prompt(e, F.col("draft"), F.col("review"), fallback=True))

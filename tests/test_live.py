@@ -10,6 +10,8 @@ from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
 from ledgerline.grounding import clients as C
+from ledgerline.grounding.checks import REVIEW as SHAPE
+from ledgerline.grounding.checks import decode_strict
 from ledgerline.grounding.pipeline import run_pipeline
 from ledgerline.grounding.providers import adjudicate_prompt, extract_prompt, review_prompt
 from ledgerline.sources.live import Client, fetch_pages, look_up_repositories
@@ -152,3 +154,16 @@ def test_prompts(spark):
     texts = list(df.select(*prompts).first())
     assert len(set(texts)) == 6 and all("Ev" in t for t in texts)
     assert all('{\n  "a": "é"\n}' in t for t in texts[2:]) and texts[4].count('"a": "é"') == 2
+
+
+def test_strict_decoding(spark):
+    review = lambda **c: json.dumps(json.loads(REVIEW) | c)
+    good = [X, "{}", ' {"company": "a", "more": [1]}', '{"claims": [{"field": "f", "value": true}, {"field": "g", "value": "v", "evidence_quote": null}]}']
+    bad = [None, "", "[]", "nope", '"x"', '{"is_remote": "perhaps"}', '{"evidence_quotes": "q"}', '{"claims": [{"value": "v"}]}', '{"claims": [null]}', '{"claims": ["c"]}', '{"company": "a"']
+    df = spark.createDataFrame([(t, t in good) for t in good + bad], "t string, good boolean")
+    rows = df.select("t", "good", decode_strict(F.col("t")).isNotNull().alias("got")).collect()
+    assert [r.t for r in rows if r.good != r.got] == []
+    bad = [review(review_status="ODD"), review(corrected_extraction=None), review(corrections="c"), X]
+    df = spark.createDataFrame([(t, t not in bad) for t in [REVIEW, review(corrections=["c"]), *bad]], "t string, good boolean")
+    rows = df.select("t", "good", decode_strict(F.col("t"), SHAPE).isNotNull().alias("got")).collect()
+    assert [r.t for r in rows if r.good != r.got] == []
