@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.markup import PageParser
 from ledgerline.functions.urls import RESERVED_OWNERS, repo_url
 from ledgerline.operators.associate import first_of_each
 
@@ -22,20 +22,16 @@ _VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "
 _PIECE = 256
 
 
-class _Anchors(HTMLParser):
+class _Anchors(PageParser):
     """Anchors by container: an end tag closes the nearest open element of its name and all within; others are ignored; nothing closes by itself."""
 
     def __init__(self, containers: Sequence[tuple[str, Sequence[str]]]):
-        super().__init__(convert_charrefs=True)
+        super().__init__()
         self.containers = containers
         self.open: list[list] = []  # [tag, anchor or None, [(container's order, its number, tag, classes)]]
         self.seen = 0
         self.found: list[list] = []  # [order, number, tag, classes, href, text parts]
 
-    def updatepos(self, i: int, j: int) -> int:
-        """Lines and columns of the source aren't asked for."""
-        return j
-
     def read(self, text: str) -> list[list]:
         """The anchors found; what follows the last container's end isn't parsed."""
         at = max((text.rfind(c[-1]) for _, c in self.containers), default=-1)
