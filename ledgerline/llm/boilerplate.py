@@ -13,13 +13,13 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from html.parser import HTMLParser
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.markup import PageParser
 from ledgerline.operators.skew import salted_lookup
 from ledgerline.session import cut
 
@@ -45,11 +45,11 @@ _AFTER_HEADINGS = 6  # headings have the first numbers
 _P, _LI, _TD = _NUMBER["p"], _NUMBER["li"], _NUMBER["td"]
 
 
-class _Lines(HTMLParser):
+class _Lines(PageParser):
     """Events of one page into lines: [tag, container, parent container, text, link chars, tags, controls]."""
 
     def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
+        super().__init__()
         self.lines: list[list] = []
         self.stack: list[tuple[str, int]] = []
         self.parents = {0: -1}
@@ -57,10 +57,6 @@ class _Lines(HTMLParser):
         self.link = self.hidden = self.in_title = False
         self.title: list[str] = []
 
-    def updatepos(self, i: int, j: int) -> int:
-        """Lines and columns of the source aren't asked for."""
-        return j
-
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _NUMBER:
             self.here = [_NUMBER[tag], self.stack[-1][1] if self.stack else 0, [], 0, 1, 0]
