@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,12 +21,28 @@ def canonical_source(c: Column) -> Column:
     return F.nullif(F.regexp_replace(F.regexp_replace(F.lower(c), r"^[\s_-]+|[\s_-]+$", ""), r"[\s_-]+", "_"), F.lit(""))
 
 
+# Runs of white space (as the pattern has it) that its look-ahead would need too deep a stack for.
+_LONG_SPACE = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
+
+
 def encoder(ranks: bytes):
-    """text -> token ids, from the bytes of a vocabulary file."""
+    """text -> token ids, from the bytes of a vocabulary file; texts may be of any length and make."""
     import tiktoken
 
     table = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, ranks.splitlines())}
-    return tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+    made = tiktoken.Encoding("public", pat_str=PATTERN, mergeable_ranks=table, special_tokens={})
+
+    def encode(text: str) -> list[int]:
+        out, at = [], 0
+        for m in _LONG_SPACE.finditer(text):
+            # The pattern makes one piece of such a run, but for the last character before more text.
+            end = m.end() - (m.end() < len(text))
+            out += made.encode_ordinary(text[at : m.start()])
+            out += made._encode_single_piece(text[m.start() : end])
+            at = end
+        return out + made.encode_ordinary(text[at:]) if at else made.encode_ordinary(text)
+
+    return encode
 
 
 def token_counts(documents: DataFrame, doc_id: str, text: str, *keep: str, vocabulary: str = VOCABULARY) -> DataFrame:

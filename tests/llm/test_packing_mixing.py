@@ -152,3 +152,25 @@ def test_token_counts(spark):
     got = {r.doc_id: (r.tokens, r.head_tokens) for r in token_counts(df, "doc_id", "text", "source").collect()}
     assert {k: v[0] for k, v in got.items()} == {k: len(encode(t)) if t else 0 for k, t in enumerate(texts)}
     assert got[0][1] == len(encode("# Title\n")) and got[1][1] == got[4][1] == 0
+
+
+def test_long_runs_of_white_space():
+    """They are counted as the tokenizer counts shorter ones, and end nothing however long they are."""
+    import base64
+
+    import tiktoken
+
+    from ledgerline.llm.tokens import PATTERN, encoder
+
+    with open(VOCABULARY, "rb") as f:
+        raw = f.read()
+    table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, raw.splitlines())}
+    plain = tiktoken.Encoding("plain", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
+    encode = encoder(raw)
+    rng = random.Random(4)
+    for _ in range(60):
+        run = lambda: "".join(rng.choice([" ", "\n", " \t", "\u3000", "\xa0"]) for _ in range(rng.choice([1, 3, 9_999, 10_000, 12_000])))
+        text = "".join(rng.choice(["word", " it's", "12", "!?", "é"]) + run() for _ in range(rng.randint(1, 4))) + rng.choice(["", "end", "\x1c"])
+        text = text if rng.random() < 0.7 else run() + text
+        assert encode(text) == plain(text)
+    assert len(encode("a" + " " * 3_000_000 + "b")) == 3_000_001
