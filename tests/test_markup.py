@@ -1,6 +1,7 @@
 """Pages of any markup are read without errors."""
 
 import random
+import time
 
 from ledgerline.functions.markup import PageParser
 from ledgerline.sources.pages import CONTAINERS, _Anchors
@@ -30,3 +31,25 @@ def test_an_unknown_section_is_a_comment():
     p.feed("<p>a<![foo[ x ]]><li>b<![ y><td>c<![CDATA[<h1>]]><dt>")
     p.close()
     assert [t for t in seen if t != "h1"] == ["p", "li", "td", "dt"]
+
+
+def test_what_never_ends_takes_time_in_proportion():
+    began = time.process_time()
+    for text in ("<p " * 40_000, "<p a='" * 40_000, "<!--" * 50_000, "<!--<p>" * 50_000, "<!x " * 50_000, "<?x " * 50_000, "</p " * 50_000, "<![x[" * 50_000):
+        p = PageParser()
+        p.feed(text)
+        p.close()
+    assert time.process_time() - began < 20
+
+
+def test_cut_pages_keep_their_text():
+    seen = []
+
+    class Text(PageParser):
+        def handle_data(self, data):
+            seen.append(data)
+
+    p = Text()
+    p.feed("<p>a &amp; b <a href='x")
+    p.close()
+    assert "".join(seen) == "a & b <a href='x"
