@@ -43,6 +43,8 @@ REST_ROWS, FAMILY_ROWS = 2, 3
 SHORT = 5
 #: Least Monge-Elkan similarity of a link (see the README for recall and precision by threshold).
 LEAST_SIMILARITY = 0.8
+#: A text of more parts is no name but a list of them or a sentence; its spellings belong together only if they are one form.
+MOST_PARTS = 32
 BLOCK = 500
 #: Rounds of star clustering by rank.
 ROUNDS = 20
@@ -64,7 +66,7 @@ def fold(s: str) -> str:
 
 
 _LETTERS = re.compile(r"[^\W\d_]+(?:-[^\W\d_]+)*")
-_PARENTHESES = re.compile(r"\([^)]*\)")
+_PARENTHESES = re.compile(r"\([^()]*\)")
 
 
 def parse_name(name: str | None) -> tuple[str, str] | None:
@@ -150,7 +152,7 @@ def _buckets(anchor: str, words: list[str], bands: int, rows: int, seen: dict[st
 def _rest_views(form: str) -> list[tuple[str, list[str]]]:
     """(part spelt alike, the rest) for each part of a form of several."""
     words = [fold(w) for w in form.split("|")[0].split()]
-    return [(f"F{t}", words[:n] + words[n + 1 :]) for n, t in enumerate(words)] if len(words) > 1 else []
+    return [(f"F{t}", words[:n] + words[n + 1 :]) for n, t in enumerate(words)] if 1 < len(words) <= MOST_PARTS else []
 
 
 def _lone(form: str) -> str:
@@ -163,7 +165,7 @@ def _homes(form: str, family: str, expansions: list[str] | None) -> tuple[bool,
     """Whether the form asks (it has an initial or a short form for a given name), and (initial, family name) of it."""
     longs, initials, _, group = form.split("|")
     words, initials = [fold(w) for w in longs.split()], initials.split()
-    if not words or group:
+    if not words or group or len(words) > MOST_PARTS:
         return False, []
     home = fold(family)
     firsts = {w[0] for w in words if w != home} or set(initials[:1])
@@ -469,7 +471,7 @@ def link_names(df: DataFrame, names: str, short_forms: DataFrame, least: float =
     """(name, entity): one row for each distinct spelling in an array column of names, exactly as stored; equal entities are one person or group.
 
     short_forms (given_name, short_form) lists given names' short forms; links need a Monge-Elkan similarity of `least`. NULL arrays, NULL names, blanks and fillers ("et al." ..)
-    belong to nobody and are left out. Repeated mentions count for a spelling's rank only. Empty tables give no rows; other columns
+    belong to nobody and are left out. Texts of more than MOST_PARTS parts are linked to spellings of the same form only. Repeated mentions count for a spelling's rank only. Empty tables give no rows; other columns
     are not read.
     """
     spellings, forms = name_forms(df, names, short_forms)

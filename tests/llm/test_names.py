@@ -164,3 +164,12 @@ def test_star_clusters_end_after_bounded_rounds(spark):
     centers = {c for c in got.values()}
     assert all(got[c] == c for c in centers) and all(k == c or abs(k - c) == 1 for k, c in got.items())
     assert not any(k in centers and k + 1 in centers for k in range(n - 1)) and [got[0], got[1]] == [0, 0]
+
+
+def test_texts_that_are_no_names(spark):
+    """Sentences and lists of names in one text, however long, are spellings of their own form only."""
+    long = " ".join(f"{'abcdefghij'[k % 10] * (k % 7 + 2)}" for k in range(20_000))
+    rows = [([long, long.upper(), "Ann Lee", "LEE Ann", "(" * 200_000, "a-" * 50_000],)]
+    short = spark.createDataFrame([], "given_name string, short_form string")
+    found = N.name_pairs(N.link_names(spark.createDataFrame(rows, "authors array<string>"), "authors", short)).collect()
+    assert {tuple(r) for r in found} == {(long.upper(), long), ("Ann Lee", "LEE Ann")}
